@@ -34,13 +34,13 @@ def a6(t):
 
 @query(
     "a7_polygon_scan",
-    f"SELECT {KEYS}, z FROM points WHERE abs(x - 500400) + abs(y - 6500040) < 300 ",
+    f"SELECT {KEYS}, z FROM points WHERE abs(x - 500400) + abs(y - 6500040) < 300.25",
 )
 def a7(t):
     """Points of one diamond; no point lies on its border."""
     ring = polygon_from_xy([(F.lit(float(x)), F.lit(float(y))) for x, y in
-                            [(500100, 6500040), (500400, 6499740), (500700, 6500040), (500400, 6500340)]])
-    return pt.in_polygon(t.points, ring, (500100, 6499740, 500700, 6500340)).selectExpr(*KEYS.split(", "), "z")
+                            [(500099.75, 6500040), (500400, 6499739.75), (500700.25, 6500040), (500400, 6500340.25)]])
+    return pt.in_polygon(t.points, ring, (500099.75, 6499739.75, 500700.25, 6500340.25)).selectExpr(*KEYS.split(", "), "z")
 
 
 @query("b13_range", f"SELECT {KEYS}, hag FROM points WHERE hag >= 0 AND hag <= 50")
@@ -124,7 +124,7 @@ def j8(t):
 @query("j9_ground_filter")
 def j9(t):
     """Ground classification of the raw elevations; the test plants surfaces instead of an oracle."""
-    return classify_ground(t.points.drop("classification", "hag", "ground_z"), window=6.0).groupBy(
+    return classify_ground(t.points.drop("classification", "hag", "ground_z")).groupBy(
         "tile_id", "classification"
     ).agg(F.count(F.lit(1)).alias("n_points"))
 

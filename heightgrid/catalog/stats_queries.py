@@ -224,10 +224,10 @@ def d19(t):
     "d20_pyramid",
     """WITH l AS (SELECT unnest([1, 2, 3]) AS level)
        SELECT CAST(level AS INTEGER) AS level, CAST(floor(cx / pow(2, level)) AS BIGINT) AS cx, CAST(floor(cy / pow(2, level)) AS BIGINT) AS cy,
-              round(avg(height), 6) AS height FROM chm, l GROUP BY 1, 2, 3""",
+              round(avg(height), 9) AS height FROM chm, l GROUP BY 1, 2, 3""",
 )
 def d20(t):
-    return grid.pyramid(t.chm, "height", 3).withColumn("height", F.round("height", 6))
+    return grid.pyramid(t.chm, "height", 3).withColumn("height", F.round("height", 9))
 
 
 _ZONES = """

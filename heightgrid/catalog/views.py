@@ -149,21 +149,21 @@ SELECT t.tile_id, t.cover,
        CASE WHEN t.cover > 0 AND t.cover <= 0.3 THEN 'low' WHEN t.cover > 0.3 AND t.cover <= 0.5 THEN 'medium'
             WHEN t.cover > 0.5 AND t.cover <= 0.8 THEN 'high' WHEN t.cover > 0.8 AND t.cover <= 1 THEN 'full'
        END AS cover_strata,
-       b.bx, b.by, b.folds, greatest(t.xmin, b.xmin) AS xmin, greatest(t.ymin, b.ymin) AS ymin,
+       b.bcol, b.brow, b.folds, greatest(t.xmin, b.xmin) AS xmin, greatest(t.ymin, b.ymin) AS ymin,
        least(t.xmax, b.xmax) AS xmax, least(t.ymax, b.ymax) AS ymax
 FROM tile_cover t JOIN blocks b
   ON t.xmin < b.xmax AND t.xmax > b.xmin AND t.ymin < b.ymax AND t.ymax > b.ymin
 """
 DUCK_VIEWS["blocks"] = """
-SELECT bx, by, x0 + bx * 250 AS xmin, y0 + by * 250 AS ymin, x0 + (bx + 1) * 250 AS xmax, y0 + (by + 1) * 250 AS ymax,
-       CAST((row_number() OVER (ORDER BY md5(concat('420|', bx, '|', by))) - 1) % 5 + 1 AS INTEGER) AS folds
-FROM (SELECT DISTINCT b.x0, b.y0, i.bx, j.by
+SELECT bcol, brow, x0 + bcol * 250 AS xmin, y0 + brow * 250 AS ymin, x0 + (bcol + 1) * 250 AS xmax, y0 + (brow + 1) * 250 AS ymax,
+       CAST((row_number() OVER (ORDER BY md5(concat('420|', bcol, '|', brow))) - 1) % 5 + 1 AS INTEGER) AS folds
+FROM (SELECT DISTINCT b.x0, b.y0, i.bcol, j.brow
       FROM (SELECT min(xmin) AS x0, min(ymin) AS y0, max(xmax) AS x1, max(ymax) AS y1 FROM tiles) b,
-           LATERAL (SELECT unnest(range(0, CAST(ceil((b.x1 - b.x0) / 250) AS BIGINT))) AS bx) i,
-           LATERAL (SELECT unnest(range(0, CAST(ceil((b.y1 - b.y0) / 250) AS BIGINT))) AS by) j,
+           LATERAL (SELECT unnest(range(0, CAST(ceil((b.x1 - b.x0) / 250) AS BIGINT))) AS bcol) i,
+           LATERAL (SELECT unnest(range(0, CAST(ceil((b.y1 - b.y0) / 250) AS BIGINT))) AS brow) j,
            tiles t
-      WHERE t.xmin <= b.x0 + (i.bx + 1) * 250 AND t.xmax >= b.x0 + i.bx * 250
-        AND t.ymin <= b.y0 + (j.by + 1) * 250 AND t.ymax >= b.y0 + j.by * 250) g
+      WHERE t.xmin <= b.x0 + (i.bcol + 1) * 250 AND t.xmax >= b.x0 + i.bcol * 250
+        AND t.ymin <= b.y0 + (j.brow + 1) * 250 AND t.ymax >= b.y0 + j.brow * 250) g
 """
 
 _ORDER = (
@@ -258,5 +258,5 @@ class Tables:
         pairs = overlay_boxes_grid(self.tile_cover, self.blocks, 250.0, 250.0)
         return pairs.select(
             "tile_id", "cover", cut("cover", COVER_EDGES, COVER_LABELS).alias("cover_strata"),
-            "bx", "by", "folds", "xmin", "ymin", "xmax", "ymax",
+            "bcol", "brow", "folds", "xmin", "ymin", "xmax", "ymax",
         )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heightgrid.functions.geometry import bind, vertex
+
 # WGS84 ellipsoid and UTM grid constants.
 SEMI_MAJOR = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -55,47 +57,82 @@ def _zone(epsg: int) -> tuple[int, bool]:
     return zone, south
 
 
-def to_utm(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
-    """Easting and northing of degrees."""
+def _direct(values: tuple, fn) -> Column:
+    return fn(*values)
+
+
+def _bound(values: tuple, fn) -> Column:
+    """Evaluate the values once before ``fn`` uses them many times; for expressions inside array functions."""
+    named = F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+    return bind(named, lambda s: fn(*[s[f"v{i}"] for i in range(len(values))]))
+
+
+def to_utm(lon: Column, lat: Column, epsg: int, share=_direct) -> Column:
+    """``struct<x,y>`` of degrees."""
     zone, south = _zone(epsg)
-    lam = F.radians(lon - (6.0 * zone - 183.0))
-    phi = F.radians(lat)
-    conformal = F.sinh(F.atanh(F.sin(phi)) - _E * F.atanh(_E * F.sin(phi)))
-    xi = F.atan2(conformal, F.cos(lam))
-    eta = F.asinh(F.sin(lam) / F.sqrt(conformal * conformal + F.cos(lam) * F.cos(lam)))
-    east, north = eta, xi
-    for j, a in enumerate(_FORWARD, start=1):
-        east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     base = FALSE_NORTHING if south else 0.0
-    return SCALE * _RADIUS * east + FALSE_EASTING, SCALE * _RADIUS * north + base
+    lam, phi = F.radians(lon - (6.0 * zone - 183.0)), F.radians(lat)
+
+    def sphere(lam, sin_phi):
+        conformal = F.sinh(F.atanh(sin_phi) - _E * F.atanh(_E * sin_phi))
+        return share((conformal, F.sin(lam), F.cos(lam)), plane)
+
+    def plane(conformal, sin_lam, cos_lam):
+        xi = F.atan2(conformal, cos_lam)
+        eta = F.asinh(sin_lam / F.sqrt(conformal * conformal + cos_lam * cos_lam))
+        return share((xi, eta), series)
+
+    def series(xi, eta):
+        east, north = eta, xi
+        for j, a in enumerate(_FORWARD, start=1):
+            east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+            north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        return vertex(SCALE * _RADIUS * east + FALSE_EASTING, SCALE * _RADIUS * north + base)
+
+    return share((lam, F.sin(phi)), sphere)
 
 
-def to_lonlat(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
-    """Degrees of an easting and northing."""
+def to_lonlat(x: Column, y: Column, epsg: int, share=_direct) -> Column:
+    """``struct<x,y>`` (longitude, latitude) of an easting and northing."""
     zone, south = _zone(epsg)
-    xi = (y - (FALSE_NORTHING if south else 0.0)) / (SCALE * _RADIUS)
-    eta = (x - FALSE_EASTING) / (SCALE * _RADIUS)
-    xi0, eta0 = xi, eta
-    for j, b in enumerate(_INVERSE, start=1):
-        xi0 = xi0 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        eta0 = eta0 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    lon = F.degrees(F.atan2(F.sinh(eta0), F.cos(xi0))) + (6.0 * zone - 183.0)
-    tau0 = F.sin(xi0) / F.sqrt(F.sinh(eta0) * F.sinh(eta0) + F.cos(xi0) * F.cos(xi0))
-    # isometric latitude of the conformal one, then the fixed-point for the geodetic one
-    psi = F.asinh(tau0)
-    sin_phi = F.tanh(psi)
-    for _ in range(6):
-        sin_phi = F.tanh(psi + _E * F.atanh(_E * sin_phi))
-    return lon, F.degrees(F.asin(sin_phi))
+
+    def series(xi, eta):
+        xi0, eta0 = xi, eta
+        for j, b in enumerate(_INVERSE, start=1):
+            xi0 = xi0 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+            eta0 = eta0 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+        return share((xi0, eta0), sphere)
+
+    def sphere(xi, eta):
+        lon = F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + (6.0 * zone - 183.0)
+        psi = F.asinh(F.sin(xi) / F.sqrt(F.sinh(eta) * F.sinh(eta) + F.cos(xi) * F.cos(xi)))
+        return share((lon, psi), ellipsoid)
+
+    def ellipsoid(lon, psi):
+        # fixed point from the conformal to the geodetic latitude; each round gains over two digits
+        sin_phi = F.tanh(psi)
+        for _ in range(6):
+            sin_phi = F.tanh(psi + _E * F.atanh(_E * sin_phi))
+        return vertex(lon, F.degrees(F.asin(sin_phi)))
+
+    northing = (y - (FALSE_NORTHING if south else 0.0)) / (SCALE * _RADIUS)
+    return share((northing, (x - FALSE_EASTING) / (SCALE * _RADIUS)), series)
+
+
+def _move(x: Column, y: Column, source: int, target: int, share) -> Column:
+    if source == target:
+        return vertex(x, y)
+    if source == 4326:
+        return to_utm(x, y, target, share)
+    if target == 4326:
+        return to_lonlat(x, y, source, share)
+    return bind(to_lonlat(x, y, source, share), lambda v: to_utm(v["x"], v["y"], target, share))
 
 
 def reproject_xy(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
     """Coordinates between EPSG:4326 and UTM zones; any other CRS raises."""
-    if source == target:
-        return x, y
-    lon, lat = (x, y) if source == 4326 else to_lonlat(x, y, source)
-    return (lon, lat) if target == 4326 else to_utm(lon, lat, target)
+    moved = _move(x, y, source, target, _direct)
+    return moved["x"], moved["y"]
 
 
 def reproject(df: DataFrame, source: int, target: int, x: str = "x", y: str = "y") -> DataFrame:
@@ -107,10 +144,7 @@ def reproject(df: DataFrame, source: int, target: int, x: str = "x", y: str = "y
 def reproject_geom(geom: Column, source: int, target: int) -> Column:
     """Reproject every vertex of a geometry struct."""
 
-    def move(v):
-        nx, ny = reproject_xy(v["x"], v["y"], source, target)
-        return F.struct(nx.alias("x"), ny.alias("y"))
-
+    move = lambda v: _move(v["x"], v["y"], source, target, _bound)
     parts = F.transform(geom["parts"], lambda part: F.transform(part, lambda ring: F.transform(ring, move)))
     return F.struct(geom["type"].alias("type"), parts.alias("parts"))
 

@@ -94,7 +94,7 @@ def pixel_bounds(x, y, x1, y2, res: float, snap: str = "ceil") -> Column:
 def prediction_grid(layer: DataFrame, tile_size: float, geom: str | None = None) -> DataFrame:
     """Square blocks over the bounds of a layer that touch one of its members, with ids by position."""
     blocks = touched_blocks(layer, tile_size, tile_size, geom)
-    return blocks.withColumn("id", F.col("by") * F.col("_nx") + F.col("bx")).drop("_nx", "_ny")
+    return blocks.withColumn("id", F.col("brow") * F.col("_nx") + F.col("bcol")).drop("_nx", "_ny")
 
 
 def touched_blocks(layer: DataFrame, width: float, height: float, geom: str | None = None) -> DataFrame:
@@ -119,12 +119,12 @@ def touched_blocks(layer: DataFrame, width: float, height: float, geom: str | No
 
     shape = [geom] if geom else []
     hit = with_row(layer.select(*shape, "xmin", "ymin", "xmax", "ymax"), b)
-    hit = hit.withColumn("bx", F.explode(span("xmin", "xmax", "_x0", w, "_nx")))
-    hit = hit.withColumn("by", F.explode(span("ymin", "ymax", "_y0", h, "_ny")))
+    hit = hit.withColumn("bcol", F.explode(span("xmin", "xmax", "_x0", w, "_nx")))
+    hit = hit.withColumn("brow", F.explode(span("ymin", "ymax", "_y0", h, "_ny")))
     hit = hit.select(
-        *shape, "bx", "by",
-        (F.col("_x0") + F.col("bx") * w).alias("xmin"), (F.col("_y0") + F.col("by") * h).alias("ymin"),
-        (F.col("_x0") + (F.col("bx") + 1) * w).alias("xmax"), (F.col("_y0") + (F.col("by") + 1) * h).alias("ymax"),
+        *shape, "bcol", "brow",
+        (F.col("_x0") + F.col("bcol") * w).alias("xmin"), (F.col("_y0") + F.col("brow") * h).alias("ymin"),
+        (F.col("_x0") + (F.col("bcol") + 1) * w).alias("xmax"), (F.col("_y0") + (F.col("brow") + 1) * h).alias("ymax"),
         "_nx", "_ny",
     )
     if geom:

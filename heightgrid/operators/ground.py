@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.operators.points import GROUND_CLASS
-from heightgrid.session import checkpoint, with_row
+from heightgrid.session import checkpoint
+
+MAX_TILE_CELLS = 36_000_000  # dense working array of one tile: 6 km x 6 km at one metre
+
+
+def _sliding(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
+    """Running minimum or maximum over 2r+1 cells by repeated doubling."""
+    pad = np.inf if fn is np.minimum else -np.inf
+    width = [(r, r) if i == axis else (0, 0) for i in range(2)]
+    out = np.pad(a, width, constant_values=pad)
+    n, need = 1, 2 * r + 1
+    cut = lambda b, lo, hi: b[lo:hi, :] if axis == 0 else b[:, lo:hi]
+    while n < need:
+        step = min(n, need - n)
+        size = out.shape[axis]
+        out = fn(cut(out, 0, size - step), cut(out, step, size))
+        n += step
+    return out
+
+
+def _opening(a: np.ndarray, r: int) -> np.ndarray:
+    """Opening with a square of 2r+1 cells; absent cells (inf) take no part."""
+    low = _sliding(_sliding(a, r, 0, np.minimum), r, 1, np.minimum)
+    low = np.where(np.isinf(low), -np.inf, low)
+    return _sliding(_sliding(low, r, 0, np.maximum), r, 1, np.maximum)
 
 
 def classify_ground(
@@ -17,71 +43,100 @@ def classify_ground(
 ) -> DataFrame:
     """Simple morphological ground filter (Pingel, Clarke and McBride 2013); adds ``classification``.
 
-    Points shrink to one lowest height per cell first. Openings with growing square windows are range-framed minima
-    and maxima along columns and rows; all of them run on one hash partitioning by tile, so the many windows share one
-    shuffle. Empty cells are left out of the neighbourhoods.
+    Points shrink map-side to one lowest height per cell. Only that grid, bounded by the tile's extent, goes to a
+    task for the openings with growing windows; the points themselves meet the resulting surface in an equi-join.
     """
     gx, gy = F.floor(F.col("x") / cell).alias("_gx"), F.floor(F.col("y") / cell).alias("_gy")
-    low = points.groupBy(key, gx, gy).agg(F.min("z").alias("low")).repartition(key)
-
-    def along(axis: str, other: str, r: int):
-        return Window.partitionBy(key, other).orderBy(axis).rangeBetween(-r, r)
-
-    grid = low.withColumns({"last": F.col("low"), "object": F.lit(False)})
-    for r in range(1, int(np.ceil(window / cell)) + 1):
-        for fn, steps in ((F.min, ("_gx", "_gy")), (F.max, ("_gy", "_gx"))):
-            for axis in steps:
-                source = "last" if (fn is F.min and axis == "_gx") else "open"
-                other = "_gy" if axis == "_gx" else "_gx"
-                grid = grid.withColumn("open", fn(source).over(along(axis, other, r)))
-        grid = grid.withColumn("object", F.col("object") | (F.col("last") - F.col("open") > slope * r * cell))
-        grid = grid.withColumn("last", F.col("open")).drop("open")
-    surface = grid.select(
-        key, "_gx", "_gy", F.when(F.col("object"), F.col("last")).otherwise(F.col("low")).alias("_dem")
-    )
-    near = surface.withColumn("_sx", (F.max("_dem").over(along("_gx", "_gy", 1)) - F.min("_dem").over(along("_gx", "_gy", 1))) / (2 * cell))
-    near = near.withColumn("_sy", (F.max("_dem").over(along("_gy", "_gx", 1)) - F.min("_dem").over(along("_gy", "_gx", 1))) / (2 * cell))
-    limit = threshold + scalar * F.sqrt(F.col("_sx") * F.col("_sx") + F.col("_sy") * F.col("_sy"))
-    tagged = points.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)}).join(
-        near.select(key, "_gx", "_gy", "_dem", limit.alias("_limit")), [key, "_gx", "_gy"]
-    )
+    low = points.groupBy(key, gx, gy).agg(F.min("z").alias("low"))
+    steps = int(np.ceil(window / cell))
+
+    def surface(pdf: pd.DataFrame) -> pd.DataFrame:
+        i = (pdf["_gx"] - pdf["_gx"].min()).to_numpy()
+        j = (pdf["_gy"] - pdf["_gy"].min()).to_numpy()
+        shape = (int(i.max()) + 1, int(j.max()) + 1)
+        if shape[0] * shape[1] > MAX_TILE_CELLS:
+            raise ValueError(f"tile {pdf[key].iloc[0]} spans {shape} cells; cut it into smaller tiles")
+        base = np.full(shape, np.inf)
+        base[i, j] = pdf["low"]
+        last, is_object = base, np.zeros(shape, dtype=bool)
+        with np.errstate(invalid="ignore"):
+            for r in range(1, steps + 1):
+                opened = np.where(np.isinf(base), np.inf, _opening(last, r))
+                is_object |= (last - opened) > slope * r * cell
+                last = opened
+            dem = np.where(is_object, last, base)
+            high = np.where(np.isinf(dem), -np.inf, dem)
+            rise = [
+                (_sliding(high, 1, a, np.maximum) - _sliding(dem, 1, a, np.minimum)) / (2 * cell) for a in (0, 1)
+            ]
+        limit = threshold + scalar * np.hypot(rise[0], rise[1])
+        return pdf[[key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
+
+    schema = f"{key} {dict(points.dtypes)[key]}, _gx long, _gy long, _dem double, _limit double"
+    dem = low.groupBy(key).applyInPandas(surface, schema)
+    tagged = points.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
     is_ground = F.abs(F.col("z") - F.col("_dem")) <= F.col("_limit")
-    return tagged.withColumn("classification", F.when(is_ground, F.lit(GROUND_CLASS)).otherwise(F.lit(1))).drop(
-        "_gx", "_gy", "_dem", "_limit"
+    return (
+        tagged.join(dem, [key, "_gx", "_gy"])
+        .withColumn("classification", F.when(is_ground, F.lit(GROUND_CLASS)).otherwise(F.lit(1)))
+        .drop("_gx", "_gy", "_dem", "_limit")
     )
 
 
-def _nearest(qx, qy, gx, gy, gz):
-    """Nearest ground place of each query (ties: lowest z), by walking outward in x order from the query."""
-    order = np.lexsort((gz, gx))
-    gx, gy, gz = gx[order], gy[order], gz[order]
+def _nearest(block: np.ndarray, x: np.ndarray, y: np.ndarray, z: np.ndarray):
+    """Nearest ground place of the same block for every query; rows with a height are ground, others queries.
+
+    Ground is ordered by block and x. Every query walks outward from its own x, to the right and to the left, until
+    the distance in x alone is longer than the best found; all queries of all blocks take each step together.
+    """
+    ground = ~np.isnan(z)
+    order = np.lexsort((x[ground], block[ground]))
+    gb, gx, gy, gz = (c[ground][order] for c in (block, x, y, z))
+    qb, qx, qy = block[~ground], x[~ground], y[~ground]
+    span = (x.max() - x.min()) + 1.0
+    start = np.searchsorted(gb * span + (gx - x.min()), qb * span + (qx - x.min()))
     best = np.full(len(qx), np.inf)
     best_z = np.full(len(qx), np.nan)
     for direction in (1, -1):
-        at = np.searchsorted(gx, qx) if direction == 1 else np.searchsorted(gx, qx) - 1
+        at = start if direction == 1 else start - 1
         active = np.arange(len(qx))
         while len(active):
-            at_a = at[active]
-            ok = (at_a >= 0) & (at_a < len(gx))
-            active, at_a = active[ok], at_a[ok]
-            dx = gx[at_a] - qx[active]
-            near = dx * dx <= best[active]
-            active, at_a, dx = active[near], at_a[near], dx[near]
-            dy = gy[at_a] - qy[active]
-            d2, z = dx * dx + dy * dy, gz[at_a]
-            better = (d2 < best[active]) | ((d2 == best[active]) & (z < best_z[active]))
+            ok = (at >= 0) & (at < len(gx))
+            active, at = active[ok], at[ok]
+            dx = gx[at] - qx[active]
+            near = (gb[at] == qb[active]) & (dx * dx <= best[active])
+            active, at, dx = active[near], at[near], dx[near]
+            dy = gy[at] - qy[active]
+            d2, height = dx * dx + dy * dy, gz[at]
+            better = (d2 < best[active]) | ((d2 == best[active]) & (height < best_z[active]))
             hit = active[better]
-            best[hit], best_z[hit] = d2[better], z[better]
-            at[active] += direction
+            best[hit], best_z[hit] = d2[better], height[better]
+            at = at + direction
     return best, best_z
 
 
-def _nearest_in_block(key: str):
-    def run(queries: pd.DataFrame, ground: pd.DataFrame) -> pd.DataFrame:
-        if len(queries) == 0 or len(ground) == 0:
-            return queries[[key, "x", "y"]].iloc[:0].assign(d2=0.0, gz=0.0)
-        d2, z = _nearest(*(queries[c].to_numpy() for c in ("x", "y")), *(ground[c].to_numpy() for c in ("x", "y", "z")))
-        return queries[[key, "x", "y"]].assign(d2=d2, gz=z)
+def _search_blocks(key: str):
+    """Arrow batches sorted by block in, answers out; only the last block of a batch waits for the next one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+            block = (pdf[[key, "_bx", "_by"]].diff().ne(0).any(axis=1)).cumsum().to_numpy(dtype=np.float64)
+            x, y, z = (pdf[c].to_numpy(dtype=np.float64) for c in ("x", "y", "z"))
+            d2, gz = _nearest(block, x, y, z)
+            out = pdf.loc[np.isnan(z), [key, "x", "y"]].assign(d2=d2, gz=gz)
+            return out[np.isfinite(d2)]
+
+        held = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            tail = (pdf[[key, "_bx", "_by"]] == pdf[[key, "_bx", "_by"]].iloc[-1]).all(axis=1)
+            held = pdf[tail]
+            if not tail.all():
+                yield answer(pdf[~tail])
+        if held is not None:
+            yield answer(held)
 
     return run
 
@@ -89,21 +144,22 @@ def _nearest_in_block(key: str):
 def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", block: float = 25.0) -> DataFrame:
     """``(key, x, y, d2, gz)``: squared distance and height of the nearest ground point of the same tile.
 
-    Both sides hold each place once, so a block of ``block`` metres has a bounded number of places (stored coordinates
-    are multiples of a fixed step). First every place looks inside its own block, which bounds its distance. A place
-    whose bound reaches over the block border then looks into the blocks within that bound, and nowhere else. Places
-    in blocks without ground take their bound from the nearest blocks that have some.
+    ``key`` is numeric. Both sides hold each place once, so a block of ``block`` metres has a bounded number of places
+    (stored coordinates are multiples of a fixed step). First every place looks inside its own block, which bounds its
+    distance. A place whose bound reaches over the block border then looks into the blocks within that bound, and
+    nowhere else. Places in blocks without ground take their bound from the nearest blocks that have some.
     """
     bx, by = F.floor(F.col("x") / block), F.floor(F.col("y") / block)
-    g = checkpoint(ground.withColumns({"_bx": bx, "_by": by}))
+    g = checkpoint(ground.select(key, "x", "y", "z").withColumns({"_bx": bx, "_by": by}))
     occupied = g.groupBy(key, "_bx", "_by").agg(
         F.min("x").alias("_x1"), F.min("y").alias("_y1"), F.max("x").alias("_x2"), F.max("y").alias("_y2")
     )
     schema = f"{key} {dict(places.dtypes)[key]}, x double, y double, d2 double, gz double"
 
     def search(queries: DataFrame) -> DataFrame:
-        by_block = [key, "_bx", "_by"]
-        return queries.groupBy(*by_block).cogroup(g.groupBy(*by_block)).applyInPandas(_nearest_in_block(key), schema)
+        both = queries.select(key, "_bx", "_by", "x", "y", F.lit(None).cast("double").alias("z")).unionByName(g)
+        parts = both.repartition(key, "_bx", "_by").sortWithinPartitions(key, "_bx", "_by")
+        return parts.mapInPandas(_search_blocks(key), schema)
 
     q = places.select(key, "x", "y").withColumns({"_bx": bx, "_by": by})
     first = checkpoint(search(q))
@@ -132,7 +188,7 @@ def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", b
 
 
 def _upper_bounds(homeless: DataFrame, occupied: DataFrame, key: str, block: float) -> DataFrame:
-    """A distance within which each place surely finds ground, from ever wider rings of occupied blocks."""
+    """A squared distance within which each place surely finds ground, from ever wider squares of occupied blocks."""
     todo = checkpoint(homeless.join(occupied.select(key).distinct(), key, "left_semi"))
     found = todo.select(key, "x", "y", F.lit(0.0).alias("d2")).where(F.lit(False))
     far = lambda c, lo, hi: F.greatest(F.abs(F.col(c) - F.col(lo)), F.abs(F.col(c) - F.col(hi)))
@@ -161,9 +217,7 @@ def _upper_bounds(homeless: DataFrame, occupied: DataFrame, key: str, block: flo
 
 def height_above_ground(points: DataFrame, key: str = "tile_id", block: float = 25.0, out: str = "hag") -> DataFrame:
     """z minus z of the nearest ground point in the tile; null in a tile without ground."""
-    ground = (
-        points.where(F.col("classification") == GROUND_CLASS).groupBy(key, "x", "y").agg(F.min("z").alias("z"))
-    )
+    ground = points.where(F.col("classification") == GROUND_CLASS).groupBy(key, "x", "y").agg(F.min("z").alias("z"))
     places = points.select(key, "x", "y").distinct()
     near = nearest_ground(places, ground, key, block)
     return points.join(near, [key, "x", "y"], "left").withColumn(out, F.col("z") - F.col("gz")).drop("d2", "gz")

@@ -32,12 +32,12 @@ def hash_rank(df: DataFrame, keys: list[str], hash_col: str, out: str = "rn", di
     )
 
 
-def ordered_ids(df: DataFrame, key: str, out: str = "id", slices: int = 1000) -> DataFrame:
+def ordered_ids(df: DataFrame, key: str, out: str = "id", slices: int = 200) -> DataFrame:
     """Ids 0..n-1 in the order of a unique numeric key, without sorting the table in one task.
 
     Sketched quantiles of the key give even slices; ranks inside a slice are shifted by the rows before it.
     """
-    probs = [F.lit(i / slices) for i in range(1, slices)]
+    probs = [i / slices for i in range(1, slices)]
     cuts = df.agg(F.percentile_approx(key, probs, 10 * slices).alias("_cuts"))
     # cut points are sorted, so the slice number is the count of cut points below the key
     lower = F.size(F.filter("_cuts", lambda c: c < F.col(key)))
@@ -133,12 +133,12 @@ def spatial_blocks(
     """
     blocks = touched_blocks(layer, width, height, geom)
     if method == "random":
-        ranked = hash_rank(blocks.withColumn("_h", seeded_hash(seed, "bx", "by")), [], "_h", "_rn").drop("_h")
+        ranked = hash_rank(blocks.withColumn("_h", seeded_hash(seed, "bcol", "brow")), [], "_h", "_rn").drop("_h")
     elif method == "continuous":
-        top = F.col("_ny") - 1 - F.col("by")
+        top = F.col("_ny") - 1 - F.col("brow")
         order = {
-            "tb-lr": top * F.col("_nx") + F.col("bx"),
-            "bt-rl": F.col("by") * F.col("_nx") + (F.col("_nx") - 1 - F.col("bx")),
+            "tb-lr": top * F.col("_nx") + F.col("bcol"),
+            "bt-rl": F.col("brow") * F.col("_nx") + (F.col("_nx") - 1 - F.col("bcol")),
         }
         if orientation not in order:
             raise ValueError(f"unknown orientation: {orientation}")

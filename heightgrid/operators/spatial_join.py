@@ -123,28 +123,28 @@ def grid_index(x: Column, origin: Column, step: float) -> Column:
 
 def _origin(blocks: DataFrame, width: float, height: float) -> DataFrame:
     return blocks.agg(
-        F.min(F.col("xmin") - F.col("bx") * F.lit(float(width))).alias("_x0"),
-        F.min(F.col("ymin") - F.col("by") * F.lit(float(height))).alias("_y0"),
+        F.min(F.col("xmin") - F.col("bcol") * F.lit(float(width))).alias("_x0"),
+        F.min(F.col("ymin") - F.col("brow") * F.lit(float(height))).alias("_y0"),
     )
 
 
 def overlay_boxes_grid(boxes: DataFrame, blocks: DataFrame, width: float, height: float) -> DataFrame:
     """Overlay of boxes with regular grid blocks: one row per pair with common area, box clipped to the block.
 
-    The block index follows from the coordinates, so this is an equi-join on ``(bx, by)``.
+    The block index follows from the coordinates, so this is an equi-join on ``(bcol, brow)``.
     """
     w, h = F.lit(float(width)), F.lit(float(height))
     a = with_row(boxes, _origin(blocks, width, height))
     a = a.withColumn(
-        "bx",
+        "bcol",
         F.explode(F.sequence(grid_index(F.col("xmin"), F.col("_x0"), width), F.ceil((F.col("xmax") - F.col("_x0")) / w) - 1)),
     ).withColumn(
-        "by",
+        "brow",
         F.explode(F.sequence(grid_index(F.col("ymin"), F.col("_y0"), height), F.ceil((F.col("ymax") - F.col("_y0")) / h) - 1)),
     )
     b = blocks.withColumnsRenamed({c: f"{c}_r" for c in BOX})
     return (
-        a.join(b, ["bx", "by"])
+        a.join(b, ["bcol", "brow"])
         .withColumns(
             {
                 "xmin": F.greatest("xmin", "xmin_r"), "ymin": F.greatest("ymin", "ymin_r"),
@@ -158,8 +158,8 @@ def overlay_boxes_grid(boxes: DataFrame, blocks: DataFrame, width: float, height
 def points_to_grid_blocks(points: DataFrame, blocks: DataFrame, width: float, height: float, x="x", y="y") -> DataFrame:
     """Points inherit the columns of their half-open grid block; points outside all blocks drop."""
     a = with_row(points, _origin(blocks, width, height))
-    a = a.withColumns({"bx": grid_index(F.col(x), F.col("_x0"), width), "by": grid_index(F.col(y), F.col("_y0"), height)})
-    return a.drop("_x0", "_y0").join(blocks.drop(*BOX), ["bx", "by"])
+    a = a.withColumns({"bcol": grid_index(F.col(x), F.col("_x0"), width), "brow": grid_index(F.col(y), F.col("_y0"), height)})
+    return a.drop("_x0", "_y0").join(blocks.drop(*BOX), ["bcol", "brow"])
 
 
 def zonal_mean(zones: DataFrame, cells: DataFrame, value: str, res: float, zone_keys: list[str], out: str = "mean"):

@@ -23,7 +23,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     low = [max(p - _MARGIN, 0.0) for p in probs]
     high = [min(p + _MARGIN, 1.0) for p in probs]
     sketch = named.groupBy(*keys).agg(
-        F.percentile_approx("_v", [F.lit(p) for p in low + high], _SKETCH).alias("_b"), F.count("_v").alias("n")
+        F.percentile_approx("_v", low + high, _SKETCH).alias("_b"), F.count("_v").alias("n")
     )
     k = len(probs)
     brackets = sketch.select(
