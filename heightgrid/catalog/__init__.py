@@ -2,7 +2,15 @@
 
 from importlib import import_module
 
-MODULES = ("points_queries", "stats_queries", "filters_queries", "joins_queries", "sampling_queries", "grid_queries")
+MODULES = (
+    "points_queries",
+    "stats_queries",
+    "filters_queries",
+    "joins_queries",
+    "sampling_queries",
+    "grid_queries",
+    "models_queries",
+)
 
 
 def load() -> None:
