@@ -10,6 +10,8 @@ MODULES = (
     "sampling_queries",
     "grid_queries",
     "models_queries",
+    "sources_queries",
+    "plans_queries",
 )
 
 

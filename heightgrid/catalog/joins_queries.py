@@ -167,10 +167,10 @@ def c8(t):
 
 @query(
     "c9_pending",
-    "SELECT tile_id, tile_name FROM tiles WHERE tile_id NOT IN (SELECT tile_id FROM points WHERE hag > 59.4)",
+    "SELECT tile_id, tile_name FROM tiles WHERE tile_id NOT IN (SELECT tile_id FROM points WHERE hag > 58.4)",
 )
 def c9(t):
-    done = t.points.where("hag > 59.4").select("tile_id").distinct()
+    done = t.points.where("hag > 58.4").select("tile_id").distinct()
     return pending(t.tiles.select("tile_id", "tile_name"), done, ["tile_id"])
 
 

@@ -23,16 +23,22 @@ def payload_to_cells(tiles: DataFrame, keys: list[str], value: str = "value", no
 def cells_to_payload(cells: DataFrame, keys: list[str], value: str = "value", size: int = PAYLOAD) -> DataFrame:
     """Cells to dense row-major payloads of ``size`` x ``size``; absent cells are null.
 
-    A payload is bounded by ``size``, whatever the size of the tile it is cut from.
+    A payload is bounded by ``size``, whatever the size of the tile it is cut from. Rows are filled first and then
+    stacked, so that a lookup goes over ``size`` entries, not over all cells of the payload.
     """
-    side = F.lit(size)
-    local = (F.pmod(F.col("cy"), side) * size + F.pmod(F.col("cx"), side)).cast("int")
-    col0, row0 = F.floor(F.col("cx") / size) * size, F.floor(F.col("cy") / size) * size
-    packed = cells.groupBy(*keys, col0.alias("col0"), row0.alias("row0")).agg(
-        F.map_from_entries(F.collect_list(F.struct(local.alias("i"), F.col(value).alias("v")))).alias("_m")
-    )
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.try_element_at("_m", i))
-    return packed.select(*keys, "col0", "row0", F.lit(size).alias("width"), dense.alias("values"))
+    origin = lambda c: (F.floor(F.col(c) / size) * size).cast("long")
+    places = F.sequence(F.lit(0), F.lit(size - 1))
+    group = [*keys, "col0", "row0"]
+    at = cells.select(
+        *keys, origin("cx").alias("col0"), origin("cy").alias("row0"), F.pmod("cx", F.lit(size)).cast("int").alias("_i"),
+        F.pmod("cy", F.lit(size)).cast("int").alias("_j"), F.col(value).alias("_v"),
+    )
+    rows = at.groupBy(*group, "_j").agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_m"))
+    rows = rows.select(*group, "_j", F.transform(places, lambda i: F.try_element_at("_m", i)).alias("_row"))
+    stacked = rows.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_j", "_row"))).alias("_m"))
+    blank = F.transform(places, lambda i: F.lit(None).cast(cells.schema[value].dataType))
+    dense = F.flatten(F.transform(places, lambda j: F.coalesce(F.try_element_at("_m", j), blank)))
+    return stacked.select(*group, F.lit(size).alias("width"), dense.alias("values"))
 
 
 def write_cells(cells: DataFrame, path: str, partition: str = "tile_id", mode: str = "append") -> None:
