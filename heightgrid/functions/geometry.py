@@ -154,29 +154,50 @@ def centroid(geom) -> Column:
     return F.coalesce(bind(moments, finish), mean)
 
 
-def contains_xy(geom, x, y) -> Column:
-    """Even-odd ray casting over all rings; left and lower borders count as inside, right and upper do not."""
+def flat_edges(geom) -> Column:
+    """Edges as ``struct<x1,y1,x2,y2,s>`` with the run per unit of rise, for tests that are repeated per candidate.
+
+    Work these out once per feature, before it meets its candidates in a join.
+    """
+
+    def flat(e):
+        rise = e["q"]["y"] - e["p"]["y"]
+        run = F.when(rise == 0, F.lit(0.0)).otherwise((e["q"]["x"] - e["p"]["x"]) / F.nullif(rise, F.lit(0.0)))
+        return F.struct(
+            e["p"]["x"].alias("x1"), e["p"]["y"].alias("y1"), e["q"]["x"].alias("x2"), e["q"]["y"].alias("y2"), run.alias("s")
+        )
+
+    return F.transform(edges(geom), flat)
+
+
+def first_vertices(geom) -> Column:
+    """One vertex of each part."""
+    return F.transform(_col(geom)["parts"], lambda part: F.element_at(F.element_at(part, 1), 1))
+
+
+def edges_contain(flat, x, y) -> Column:
+    """Even-odd ray casting; left and lower borders count as inside, right and upper do not."""
     px, py = _col(x), _col(y)
+    crosses = lambda e: ((e["y1"] > py) != (e["y2"] > py)) & (px < e["x1"] + e["s"] * (py - e["y1"]))
+    return F.size(F.filter(_col(flat), crosses)) % 2 == 1
 
-    def crosses(e):
-        ax, ay, bx, by = e["p"]["x"], e["p"]["y"], e["q"]["x"], e["q"]["y"]
-        return ((ay > py) != (by > py)) & (px < (bx - ax) * (py - ay) / F.nullif(by - ay, F.lit(0.0)) + ax)
 
-    return F.size(F.filter(edges(geom), crosses)) % 2 == 1
+def contains_xy(geom, x, y) -> Column:
+    """Point-in-polygon by ``edges_contain``."""
+    return edges_contain(flat_edges(geom), x, y)
 
 
 def on_border(geom, x, y) -> Column:
     px, py = _col(x), _col(y)
 
     def touches(e):
-        ax, ay, bx, by = e["p"]["x"], e["p"]["y"], e["q"]["x"], e["q"]["y"]
         return (
-            ((bx - ax) * (py - ay) - (by - ay) * (px - ax) == 0)
-            & px.between(F.least(ax, bx), F.greatest(ax, bx))
-            & py.between(F.least(ay, by), F.greatest(ay, by))
+            ((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"]) == 0)
+            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    return F.exists(edges(geom), touches)
+    return F.exists(flat_edges(geom), touches)
 
 
 def covers_xy(geom, x, y) -> Column:
@@ -184,43 +205,46 @@ def covers_xy(geom, x, y) -> Column:
     return contains_xy(geom, x, y) | on_border(geom, x, y)
 
 
-def _turn(a, b, c) -> Column:
-    return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
+def _side(e, x, y) -> Column:
+    return F.signum((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]))
 
 
 def _segments_meet(e: Column, f: Column) -> Column:
     apart = (
-        (F.greatest(e["p"]["x"], e["q"]["x"]) < F.least(f["p"]["x"], f["q"]["x"]))
-        | (F.greatest(f["p"]["x"], f["q"]["x"]) < F.least(e["p"]["x"], e["q"]["x"]))
-        | (F.greatest(e["p"]["y"], e["q"]["y"]) < F.least(f["p"]["y"], f["q"]["y"]))
-        | (F.greatest(f["p"]["y"], f["q"]["y"]) < F.least(e["p"]["y"], e["q"]["y"]))
+        (F.greatest(e["x1"], e["x2"]) < F.least(f["x1"], f["x2"]))
+        | (F.greatest(f["x1"], f["x2"]) < F.least(e["x1"], e["x2"]))
+        | (F.greatest(e["y1"], e["y2"]) < F.least(f["y1"], f["y2"]))
+        | (F.greatest(f["y1"], f["y2"]) < F.least(e["y1"], e["y2"]))
     )
     return (
         ~apart
-        & (_turn(f["p"], f["q"], e["p"]) * _turn(f["p"], f["q"], e["q"]) <= 0)
-        & (_turn(e["p"], e["q"], f["p"]) * _turn(e["p"], e["q"], f["q"]) <= 0)
+        & (_side(f, e["x1"], e["y1"]) * _side(f, e["x2"], e["y2"]) <= 0)
+        & (_side(e, f["x1"], f["y1"]) * _side(e, f["x2"], f["y2"]) <= 0)
     )
 
 
 def _segments_cross(e: Column, f: Column) -> Column:
     """Proper crossing in the interior of both segments."""
-    return (_turn(f["p"], f["q"], e["p"]) * _turn(f["p"], f["q"], e["q"]) < 0) & (
-        _turn(e["p"], e["q"], f["p"]) * _turn(e["p"], e["q"], f["q"]) < 0
+    return (_side(f, e["x1"], e["y1"]) * _side(f, e["x2"], e["y2"]) < 0) & (
+        _side(e, f["x1"], f["y1"]) * _side(e, f["x2"], f["y2"]) < 0
     )
 
 
-def intersects(a, b) -> Column:
-    """Closed polygon/polygon test: borders meet, or one holds a vertex of the other."""
-    a, b = _col(a), _col(b)
-    first = lambda g: F.transform(g["parts"], lambda part: F.element_at(F.element_at(part, 1), 1))
-    borders = bind(edges(b), lambda eb: F.exists(edges(a), lambda e: F.exists(eb, lambda f: _segments_meet(e, f))))
+def edges_intersect(a_edges, a_first, b_edges, b_first) -> Column:
+    """Closed polygon/polygon test: one holds a vertex of the other, or borders meet (the cheaper test comes first)."""
+    ea, eb = _col(a_edges), _col(b_edges)
     return (
-        borders
-        | F.exists(first(a), lambda v: contains_xy(b, v["x"], v["y"]))
-        | F.exists(first(b), lambda v: contains_xy(a, v["x"], v["y"]))
+        F.exists(_col(a_first), lambda v: edges_contain(eb, v["x"], v["y"]))
+        | F.exists(_col(b_first), lambda v: edges_contain(ea, v["x"], v["y"]))
+        | F.exists(ea, lambda e: F.exists(eb, lambda f: _segments_meet(e, f)))
     )
 
 
+def intersects(a, b) -> Column:
+    """``edges_intersect`` of two geometry columns."""
+    return edges_intersect(flat_edges(a), first_vertices(a), flat_edges(b), first_vertices(b))
+
+
 def is_valid(geom) -> Column:
     """Every ring closed, with at least four vertices, some area, and no self-crossing."""
 
@@ -230,7 +254,7 @@ def is_valid(geom) -> Column:
             & (F.element_at(ring, 1) == F.element_at(ring, -1))
             & (_ring_area(ring) > 0)
             & bind(
-                _ring_edges(ring),
+                flat_edges(geometry("POLYGON", F.array(F.array(ring)))),
                 lambda es: ~F.exists(es, lambda e: F.exists(es, lambda f: _segments_cross(e, f))),
             )
         )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.operators.points import GROUND_CLASS
-from heightgrid.session import checkpoint
+from heightgrid.session import checkpoint, worker_partitions
 
 MAX_TILE_CELLS = 36_000_000  # dense working array of one tile: 6 km x 6 km at one metre
 
@@ -73,7 +73,7 @@ def classify_ground(
         return pdf[[key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
 
     schema = f"{key} {dict(points.dtypes)[key]}, _gx long, _gy long, _dem double, _limit double"
-    dem = low.groupBy(key).applyInPandas(surface, schema)
+    dem = low.repartition(worker_partitions(points.sparkSession), key).groupBy(key).applyInPandas(surface, schema)
     tagged = points.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
     is_ground = F.abs(F.col("z") - F.col("_dem")) <= F.col("_limit")
     return (
@@ -158,7 +158,7 @@ def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", b
 
     def search(queries: DataFrame) -> DataFrame:
         both = queries.select(key, "_bx", "_by", "x", "y", F.lit(None).cast("double").alias("z")).unionByName(g)
-        parts = both.repartition(key, "_bx", "_by").sortWithinPartitions(key, "_bx", "_by")
+        parts = both.repartition(worker_partitions(places.sparkSession), key, "_bx", "_by").sortWithinPartitions(key, "_bx", "_by")
         return parts.mapInPandas(_search_blocks(key), schema)
 
     q = places.select(key, "x", "y").withColumns({"_bx": bx, "_by": by})

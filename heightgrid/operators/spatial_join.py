@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.functions.geometry import contains_xy, intersects
+from heightgrid.functions.geometry import edges_contain, edges_intersect, first_vertices, flat_edges
 from heightgrid.session import with_row
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -75,8 +75,11 @@ def bucket_pairs(left: DataFrame, right: DataFrame, left_box=BOX, right_box=BOX,
 
 
 def spatial_join(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, left_box=BOX, right_box=BOX):
-    """Inner join on ``intersects``; one row per matching pair."""
-    return bucket_pairs(left, right, left_box, right_box).where(intersects(left_geom, right_geom))
+    """Inner join on ``intersects``; one row per matching pair. Edges are prepared once per feature."""
+    a = left.withColumns({"_le": flat_edges(left_geom), "_lf": first_vertices(left_geom)})
+    b = right.withColumns({"_re": flat_edges(right_geom), "_rf": first_vertices(right_geom)})
+    pairs = bucket_pairs(a, b, left_box, right_box)
+    return pairs.where(edges_intersect("_le", "_lf", "_re", "_rf")).drop("_le", "_lf", "_re", "_rf")
 
 
 def spatial_semi_join(left: DataFrame, right: DataFrame, keys: list[str], left_geom: str, right_geom: str) -> DataFrame:
@@ -112,9 +115,10 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, geom: str, x: str
     """Inner join of points to the polygons that hold them; points outside all polygons drop."""
     tall = polygons.withColumns(
         # the box test is half-open: lift the upper limits a little and let ray casting decide
-        {"xmax": F.col("xmax") + 1e-6, "ymax": F.col("ymax") + 1e-6}
+        {"xmax": F.col("xmax") + 1e-6, "ymax": F.col("ymax") + 1e-6, "_edges": flat_edges(geom)}
     )
-    return points_in_boxes(points, tall, x, y).where(contains_xy(geom, x, y)).drop(*[f"{c}_r" for c in BOX])
+    inside = points_in_boxes(points, tall, x, y).where(edges_contain("_edges", x, y))
+    return inside.drop("_edges", *[f"{c}_r" for c in BOX])
 
 
 def grid_index(x: Column, origin: Column, step: float) -> Column:
@@ -200,12 +204,13 @@ def cells_minus_boxes(tiles: DataFrame, water: DataFrame, key: str, res: float =
 
 def cells_minus_polygons(tiles: DataFrame, water: DataFrame, key: str, geom: str, res: float = 10.0) -> DataFrame:
     """As ``cells_minus_boxes`` for any polygons: a cell is wet when its centre lies in a polygon."""
-    common = bucket_pairs(tiles.select(key, *BOX), water.select(geom, *BOX), open_edges=True).select(
-        key, geom,
+    shapes = water.select(flat_edges(geom).alias("_edges"), *BOX)
+    common = bucket_pairs(tiles.select(key, *BOX), shapes, open_edges=True).select(
+        key, "_edges",
         F.greatest("xmin_l", "xmin_r").alias("xmin"), F.greatest("ymin_l", "ymin_r").alias("ymin"),
         F.least("xmax_l", "xmax_r").alias("xmax"), F.least("ymax_l", "ymax_r").alias("ymax"),
     )
-    wet = box_cells(common, res).where(contains_xy(geom, (F.col("cx") + 0.5) * res, (F.col("cy") + 0.5) * res))
+    wet = box_cells(common, res).where(edges_contain("_edges", (F.col("cx") + 0.5) * res, (F.col("cy") + 0.5) * res))
     return (
         box_cells(tiles.select(key, *BOX), res)
         .select(key, "cx", "cy")

@@ -7,15 +7,17 @@ smallest label is found with repeated joins and checkpoints.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.operators.grid import stratum_label
-from heightgrid.session import checkpoint
+from heightgrid.session import checkpoint, worker_partitions
 
-WINDOW = 64  # cells per side: a group holds at most 4,096 cells
+WINDOW = 64  # cells per side: a window holds at most 4,096 cells
 
 
 def cell_code(cx, cy) -> Column:
@@ -24,38 +26,62 @@ def cell_code(cx, cy) -> Column:
     return (cx * F.lit(4294967296) + cy).cast("long")
 
 
-def _label_window(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Smallest cell code of each 4-connected run of equal stratum inside one window."""
-    x = (pdf["cx"] - pdf["cx"].min()).to_numpy()
-    y = (pdf["cy"] - pdf["cy"].min()).to_numpy()
-    shape = (x.max() + 1, y.max() + 1)
-    stratum = np.full(shape, -1, dtype=np.int64)
-    label = np.full(shape, np.iinfo(np.int64).max, dtype=np.int64)
-    stratum[x, y] = pdf["strata"]
-    label[x, y] = pdf["code"]
-    same_x = (stratum[1:, :] == stratum[:-1, :]) & (stratum[1:, :] >= 0)
-    same_y = (stratum[:, 1:] == stratum[:, :-1]) & (stratum[:, 1:] >= 0)
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member of each connected set of 0..n-1: hook larger roots to smaller ones, then shorten the chains."""
+    root = np.arange(n)
     while True:
-        before = label.copy()
-        low = np.minimum(label[1:, :], label[:-1, :])
-        label[1:, :][same_x] = low[same_x]
-        label[:-1, :][same_x] = np.minimum(label[:-1, :], low)[same_x]
-        low = np.minimum(label[:, 1:], label[:, :-1])
-        label[:, 1:][same_y] = low[same_y]
-        label[:, :-1][same_y] = np.minimum(label[:, :-1], low)[same_y]
-        if np.array_equal(before, label):
-            return pdf.assign(label=label[x, y])
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        if not apart.any():
+            return root
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        root[np.maximum(ra, rb)] = np.minimum(ra, rb)
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+
+
+def _label_windows(key: str):
+    """Batches sorted by window and cell; all complete windows of a batch are labelled together."""
+
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        window = pdf[[key, "wx", "wy"]].diff().ne(0).any(axis=1).cumsum().to_numpy()
+        i, j = (pdf["cx"] % WINDOW).to_numpy(), (pdf["cy"] % WINDOW).to_numpy()
+        place, stratum = (window * WINDOW + i) * WINDOW + j, pdf["strata"].to_numpy()
+        pairs = []
+        for step, edge in ((1, j), (WINDOW, i)):
+            at = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
+            joined = (place[at] == place + step) & (edge < WINDOW - 1) & (stratum[at] == stratum)
+            pairs.append((np.flatnonzero(joined), at[joined]))
+        a, b = (np.concatenate(side) for side in zip(*pairs, strict=True))
+        root = _roots(len(pdf), a, b)
+        return pdf[[key, "cx", "cy", "strata"]].assign(label=pdf["code"].to_numpy()[root])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            tail = (pdf[[key, "wx", "wy"]] == pdf[[key, "wx", "wy"]].iloc[-1]).all(axis=1)
+            held = pdf[tail]
+            if not tail.all():
+                yield label(pdf[~tail])
+        if held is not None:
+            yield label(held)
+
+    return run
 
 
 def _window_labels(cells: DataFrame, key: str) -> DataFrame:
-    """Window-local labels of distinct cells ``(key, cx, cy, strata)``."""
-    schema = f"{key} {dict(cells.dtypes)[key]}, cx long, cy long, strata int, code long, wx long, wy long, label long"
-    return (
-        cells.select(key, F.col("cx").cast("long").alias("cx"), F.col("cy").cast("long").alias("cy"), F.col("strata").cast("int").alias("strata"))
-        .withColumns({"code": cell_code("cx", "cy"), "wx": F.floor(F.col("cx") / WINDOW), "wy": F.floor(F.col("cy") / WINDOW)})
-        .groupBy(key, "wx", "wy")
-        .applyInPandas(_label_window, schema)
+    """Window-local labels of distinct cells ``(key, cx, cy, strata)``; ``key`` is numeric."""
+    place = [key, "wx", "wy"]
+    rows = cells.select(
+        key, F.col("cx").cast("long").alias("cx"), F.col("cy").cast("long").alias("cy"), F.col("strata").cast("int").alias("strata"),
+        cell_code("cx", "cy").alias("code"), F.floor(F.col("cx") / WINDOW).alias("wx"), F.floor(F.col("cy") / WINDOW).alias("wy"),
     )
+    parts = rows.repartition(worker_partitions(cells.sparkSession), *place).sortWithinPartitions(*place, "code")
+    schema = f"{key} {dict(cells.dtypes)[key]}, cx long, cy long, strata int, label long"
+    return parts.mapInPandas(_label_windows(key), schema)
 
 
 def _border_edges(labelled: DataFrame, key: str) -> DataFrame:
@@ -80,29 +106,22 @@ def smallest_labels(edges: DataFrame, key: str) -> DataFrame:
     until nothing changes. Rounds grow with the logarithm of the set size. Every round is checkpointed.
     """
     e = checkpoint(edges.where(F.col("a") != F.col("b")))
-    while not e.isEmpty():
+    state = None
+    while True:
+        # the table as a count and a 64-bit digest: it stays the same once all sets are stars
+        digest = F.bit_xor(F.xxhash64(key, "a", "b"))
+        before, state = state, tuple(e.agg(F.count(F.lit(1)), digest).first())
+        if state[0] == 0 or state == before:
+            break
         # large star: neighbours above a node move to the smallest label next to it
         both = e.select(key, "a", "b").unionByName(e.select(key, F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(key, "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (
-            both.join(low, [key, "a"]).where(F.col("b") > F.col("a")).select(key, F.col("b").alias("a"), F.col("m").alias("b"))
-        )
+        down = both.join(low, [key, "a"]).where("b > a").select(key, F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours move to the smallest of them
-        down = large.where(F.col("a") != F.col("b")).distinct()
         low = down.groupBy(key, "a").agg(F.min("b").alias("m"))
-        nxt = (
-            down.join(low, [key, "a"])
-            .select(key, F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
-            .select(key, "e.a", "e.b")
-            .where(F.col("a") != F.col("b"))
-            .distinct()
-        )
-        nxt = checkpoint(nxt)
-        changed = nxt.exceptAll(e).union(e.exceptAll(nxt))
-        e_prev, e = e, nxt
-        if changed.isEmpty():
-            break
-        del e_prev
+        moved = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))
+        star = down.join(low, [key, "a"]).select(key, F.explode(moved).alias("e")).select(key, "e.a", "e.b")
+        e = checkpoint(star.where("a <> b").distinct())
     return e.select(key, F.col("a").alias("label"), F.col("b").alias("root"))
 
 

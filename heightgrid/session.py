@@ -1,4 +1,4 @@
-"""Session helpers: checkpoint folder, scratch paths, one-row joins, size-checked broadcast."""
+"""Session helpers: checkpoint folder, scratch paths, one-row joins."""
 
 from __future__ import annotations
 
@@ -41,25 +41,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; all paths of one application lie in one folder that can go after it."""
+    return f"{shared_dir(spark)}/heightgrid-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through reliable storage, so that a lost executor costs one read."""
+    """Cut the lineage through a table in the shared folder.
+
+    A lost executor then costs a read. Unlike an RDD checkpoint the table is columnar and its size is known, so later
+    joins prune columns and choose a broadcast by real size.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder for a table a job writes and reads back."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def worker_partitions(spark: SparkSession) -> int:
+    """Partitions for stages with Python workers: a fixed number, because merging small ones by bytes would idle cores."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row table (a global aggregate) to every row."""
     return df.crossJoin(F.broadcast(one_row))
 
-
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when the counted size allows it; otherwise leave the shuffle join."""
-    return F.broadcast(df) if rows <= max_rows else df
