@@ -10,28 +10,33 @@ from heightgrid.session import with_row
 
 _SKETCH = 10_000  # rank error of the quantile sketch: 1 / 10,000 of the rows
 _MARGIN = 2.0 / _SKETCH
+_SMALL = 20_000  # groups up to this size are bracketed by their own ends
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles as array ``q`` (plus ``n``) per group, without one task holding a whole group.
 
     A mergeable sketch brackets each quantile first. The second pass counts what lies below the bracket and keeps only
-    the few values inside it (a 1/2,500 share of the group), counted per distinct value.
+    the few values inside it (a 1/2,500 share of a large group), counted per distinct value.
     """
     keys = keys or []
     named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     low = [max(p - _MARGIN, 0.0) for p in probs]
     high = [min(p + _MARGIN, 1.0) for p in probs]
     sketch = named.groupBy(*keys).agg(
-        F.percentile_approx("_v", low + high, _SKETCH).alias("_b"), F.count("_v").alias("n")
-    )
+        F.percentile_approx("_v", low + high, _SKETCH).alias("_b"), F.count("_v").alias("n"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+    )
+    small = F.col("n") <= _SMALL
     k = len(probs)
     brackets = sketch.select(
         *keys, "n",
         F.array(
             *[
                 F.struct(
-                    F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.col("_b")[i].alias("lo"), F.col("_b")[k + i].alias("hi")
+                    F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
+                    F.when(small, F.col("_min")).otherwise(F.col("_b")[i]).alias("lo"),
+                    F.when(small, F.col("_max")).otherwise(F.col("_b")[k + i]).alias("hi"),
                 )
                 for i, p in enumerate(probs)
             ]
