@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.functions.crs import reproject_xy
-from heightgrid.functions.geometry import box_geom, intersects
-from heightgrid.session import with_row
+from heightgrid.functions.geometry import box_geom, edges_intersect, first_vertices, flat_edges
+from heightgrid.session import with_row, worker_partitions
 
 
 def _col(c) -> Column:
@@ -117,9 +117,13 @@ def touched_blocks(layer: DataFrame, width: float, height: float, geom: str | No
         last = F.least(F.floor((F.col(hi) - F.col(origin)) / step), F.col(n) - 1)
         return F.sequence(F.least(first, last), last)
 
-    shape = [geom] if geom else []
+    shape = ["_edges", "_first"] if geom else []
+    if geom:  # prepared once per member, not once per block it may touch
+        layer = layer.withColumns({"_edges": flat_edges(geom), "_first": first_vertices(geom)})
     hit = with_row(layer.select(*shape, "xmin", "ymin", "xmax", "ymax"), b)
     hit = hit.withColumn("bcol", F.explode(span("xmin", "xmax", "_x0", w, "_nx")))
+    if geom:  # one large area must not be tested block by block in one task
+        hit = hit.repartition(worker_partitions(layer.sparkSession), "bcol")
     hit = hit.withColumn("brow", F.explode(span("ymin", "ymax", "_y0", h, "_ny")))
     hit = hit.select(
         *shape, "bcol", "brow",
@@ -128,7 +132,8 @@ def touched_blocks(layer: DataFrame, width: float, height: float, geom: str | No
         "_nx", "_ny",
     )
     if geom:
-        hit = hit.where(intersects(geom, box_geom())).drop(geom)
+        box = box_geom()
+        hit = hit.where(edges_intersect("_edges", "_first", flat_edges(box), first_vertices(box))).drop(*shape)
     return hit.distinct()
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.functions.geometry import edges_contain, edges_intersect, first_vertices, flat_edges
-from heightgrid.session import with_row
+from heightgrid.session import with_row, worker_partitions
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 _POINT_LEVEL = -10  # buckets of a millimetre: below any extent that matters
@@ -179,7 +179,11 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, value: str, res: float, zone_
 
 
 def box_cells(df: DataFrame, res: float, box=BOX) -> DataFrame:
-    """One row per grid cell whose centre lies in the box (half-open)."""
+    """One row per grid cell whose centre lies in the box (half-open).
+
+    The few boxes are dealt over the cluster before they turn into many cells.
+    """
+    df = df.repartition(worker_partitions(df.sparkSession), *box)
     xmin, ymin, xmax, ymax = (F.col(c) for c in box)
     first = lambda v: F.ceil(v / res - 0.5)
     df = df.where((first(xmax) > first(xmin)) & (first(ymax) > first(ymin)))

@@ -17,6 +17,7 @@ def build_session(app: str = "heightgrid", cores: str = "*", shuffle_partitions:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "4m")  # small local files still feed all cores
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
