@@ -285,14 +285,14 @@ def h6(t):
 @query(
     "h7_h12_math",
     """SELECT o_orderkey, CAST(ceil((o_orderkey % 11 + 1) / 66 * 50) AS INTEGER) AS share, CAST(floor(5000 / (o_custkey + 1)) AS INTEGER) AS whole,
-              greatest(o_totalprice - 100000, 0) AS clamped, round(o_totalprice / 1000, 2) AS rounded FROM orders""",
+              greatest(o_totalprice - 100000, 0) AS clamped, round(o_totalprice / 1000, 5) AS rounded FROM orders""",
 )
 def h7(t):
     from heightgrid.operators.sampling import allocation
 
     return t.orders.select(
         "o_orderkey", allocation(F.col("o_orderkey") % 11 + 1, 50, 11).alias("share"), (F.lit(5000) / (F.col("o_custkey") + 1)).cast("int").alias("whole"),
-        F.greatest(F.col("o_totalprice") - 100000, F.lit(0.0)).alias("clamped"), F.round(F.col("o_totalprice") / 1000, 2).alias("rounded"),
+        F.greatest(F.col("o_totalprice") - 100000, F.lit(0.0)).alias("clamped"), F.round(F.col("o_totalprice") / 1000, 5).alias("rounded"),
     )
 
 
