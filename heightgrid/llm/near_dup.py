@@ -127,11 +127,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             place = coded.indices.to_numpy(zero_copy_only=False)
             good = []
             for i in range(batch.num_rows):
-                s, t = sets[place[i]], sets[place[batch.num_rows + i]]
-                if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
-                    both = len(np.intersect1d(s, t, assume_unique=True))
-                    if both and 100 * both >= percent * (len(s) + len(t) - both):
-                        good.append(i)
+                if _similar(sets[place[i]], sets[place[batch.num_rows + i]], percent):
+                    good.append(i)
             at = pa.array(good, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], schema=schema)
 
@@ -139,34 +136,60 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _pairs_across(part: dict[str, np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one pair of blocks that lie in different components and whose sketches are near."""
-    ids, comp, bits = part["doc_id"], part["component"], part["bits"]
+def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def _links_across(part: dict[str, np.ndarray], limit: int, percent: int) -> list[tuple[int, int]]:
+    """Links that join different components within one pair of blocks.
+
+    Pairs come by the nearness of their sketches. A pair that has become connected is passed over, and so is one that
+    shares an earlier band, where it has its turn; the rest is compared on full sets.
+    """
+    ids, label, band = part["doc_id"], part["component"].copy(), int(part["band"][0])
     rows, cols = np.flatnonzero(part["own"] == part["x"]), np.flatnonzero(part["own"] == part["y"])
     same = part["x"][0] == part["y"][0]
-    a, b = [], []
-    for r in rows:
-        near = cols[(comp[cols] != comp[r]) & (np.bitwise_count(bits[cols] ^ bits[r]).sum(axis=1) <= limit)]
-        near = near[ids[near] < ids[r]] if same else near
-        a.append(np.minimum(ids[near], ids[r]))
-        b.append(np.maximum(ids[near], ids[r]))
-    return np.concatenate(a or [[]]).astype(np.int64), np.concatenate(b or [[]]).astype(np.int64)
+    sets: dict[int, np.ndarray] = {}
+    links = []
 
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = next(_shingle_sets(pa.array([part["text"][i]])))[1][0]
+        return sets[i]
 
-def _across(members: DataFrame, limit: int) -> DataFrame:
-    """Candidate pairs of different components inside buckets, compared block by block by their sketches.
+    for r in rows:
+        other = cols[label[cols] != label[r]]
+        if same:
+            other = other[ids[other] < ids[r]]
+        differ = np.bitwise_count(part["bits"][other] ^ part["bits"][r]).sum(axis=1)
+        near = (differ <= limit) & ~(part["bands"][other, :band] == part["bands"][r, :band]).any(axis=1)
+        other = other[near][np.argsort(differ[near], kind="stable")]
+        for c in other.tolist():
+            if label[c] != label[r] and _similar(full(r), full(c), percent):
+                links.append((int(min(ids[r], ids[c])), int(max(ids[r], ids[c]))))
+                label[label == label[c]] = label[r]
+    return links
+
+
+def _across(members: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Links between different components inside buckets, found block by block.
 
     A bucket's members are dealt to blocks by a hash; a row goes to each pair of blocks it belongs to, so a task holds
-    two blocks of about ``BLOCK`` rows at a time and a bucket of n members makes n * n / BLOCK rows, not n * n.
+    two blocks of about ``BLOCK`` rows at a time and a bucket of n members makes n * n / BLOCK rows, not n * n. Pairs
+    never become rows: only links come out, at most one for each two components of a pair of blocks.
     """
     spread = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
     dealt = members.join(spread, ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("doc_id", "band"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     group = ["band", "key", "x", "y"]
+    kept = ("doc_id", "component", "sketch", "bands", "text")
     spread_out = (
-        dealt.select("band", "key", "doc_id", "component", "sketch", "own", other)
-        .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "doc_id", "component", "sketch")
+        dealt.select("band", "key", "own", *kept, other)
+        .select("band", "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", *kept)
         .repartition(worker_partitions(members.sparkSession), *group)
         .sortWithinPartitions(*group)
     )
@@ -175,13 +198,14 @@ def _across(members: DataFrame, limit: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in _and_end(batches):
-            now = {} if batch is None else {n: batch.column(n).to_numpy(zero_copy_only=False) for n in (*group, "own", "doc_id", "component")}
-            if batch is not None:
-                flat = batch.column("sketch").flatten().to_numpy(zero_copy_only=False)
-                now["bits"] = flat.view(np.uint64).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, SKETCH_BITS // 64), np.uint64)
+            now: dict[str, np.ndarray] = {}
+            if batch is not None and batch.num_rows:
+                now = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in (*group, "own", "doc_id", "component", "text")}
+                for name, column in (("bits", "sketch"), ("bands", "bands")):
+                    now[name] = batch.column(column).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(batch.num_rows, -1)
             if held:
                 now = {n: np.concatenate([v, now[n]]) for n, v in held.items()} if now else held
-            if not now or not len(now["own"]):
+            if not now:
                 continue
             change = np.zeros(len(now["own"]) - 1, bool)
             for n in group:
@@ -190,12 +214,12 @@ def _across(members: DataFrame, limit: int) -> DataFrame:
             if batch is None:
                 cuts.append(len(now["own"]))
             held = {n: v[cuts[-1] :] for n, v in now.items()}
-            found = [_pairs_across({n: v[i:j] for n, v in now.items()}, limit) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-            if found:
-                a, b = (np.concatenate(side) for side in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+            links = [x for i, j in zip(cuts[:-1], cuts[1:], strict=True) for x in _links_across({n: v[i:j] for n, v in now.items()}, limit, percent)]
+            if links:
+                a, b = zip(*links, strict=True)
+                yield batch_of({"a": a, "b": b}, schema)
 
-    return spread_out.mapInArrow(run, "a long, b long").distinct()
+    return spread_out.mapInArrow(run, "a long, b long")
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -216,7 +240,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     2. In each bucket every class is compared with the smallest member; the links give first components.
     3. Buckets that still hold several components are compared across them, in blocks.
     Candidates pass the odd sketch on the way to the comparison of full sets, and links are confirmed only there.
-    A pair at the limit shares no band with probability 1e-6 (24 bands of 5 samples).
+    A pair at the limit shares no band with probability 1e-6 at 85 percent and 7e-5 at 80 (24 bands of 5 samples).
 
     Null or empty texts have no set and stand alone. Repeated rows are one class; an id repeated with other texts is
     judged by each text. A null id is never linked and is kept, with a null component. An empty table gives an empty
@@ -247,9 +271,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         shared.join(first, "doc_id", "left").select("band", "key", "doc_id", F.coalesce("part", "doc_id").alias("component"))
     )
     mixed = in_parts.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
-    members = in_parts.join(mixed, ["band", "key"]).join(sketches, "doc_id").select("band", "key", "doc_id", "component", "sketch")
-    more = checkpoint(_across(members, limit).join(near, ["a", "b"], "left_anti"))
-    final = _components(links.union(confirmed(more, texts, percent)).distinct())
+    members = in_parts.join(mixed, ["band", "key"]).join(reps, "doc_id")
+    members = checkpoint(members.select("band", "key", "doc_id", "component", "sketch", "bands"))
+    members = members.join(near_ids(texts, members.select("doc_id")), "doc_id")
+    final = _components(links.union(_across(members, limit, percent)).distinct())
     label = final.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
     classes = classes.join(label, "doc_id", "left").select(*by_set, F.coalesce("part", "doc_id").alias("class_component"))
     alone = F.coalesce("class_component", "doc_id")
