@@ -86,7 +86,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, chars: np.
     breaks = np.flatnonzero(data == 10)
     begins = np.union1d(offsets[:-1], breaks + 1)
     begins = begins[begins < len(data)]
-    ends = np.append(begins[1:], len(data))
+    ends = np.append(begins, len(data))[1:]
     ends = np.where((ends > begins) & (data[ends - 1] == 10), ends - 1, ends)
     w0, w1 = np.searchsorted(starts, begins), np.searchsorted(starts, ends)
     keep = w1 > w0
