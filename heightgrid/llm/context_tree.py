@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heightgrid.llm.text import LOWER, U, batch_of, chunks, find_words, mix, plain_documents, span_hashes, text_bytes
@@ -22,10 +22,10 @@ from heightgrid.session import checkpoint, worker_partitions
 
 #: Bytes of context.
 DEPTH = 5
-#: Places for the nodes of two and more bytes of context, 12 bytes each: the model's proven size bound (50 MB).
+#: Places for the nodes of two and more bytes of context, 6 bytes each: the model's proven size bound (25 MB).
 SLOTS = 1 << 22
 #: Remembered byte strings of a task and the text worked on at a time.
-MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 21, 16_000_000, 4_000_000
+MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 21, 32_000_000, 4_000_000
 END = 0xFF
 #: Bits below the last two bytes of context.
 _NEAR = 8 * (DEPTH - 1)
@@ -138,7 +138,13 @@ def weighted(code: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.nd
 
 def slot_and_tag(depth: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = mix(code.astype(np.uint64) * U(8) + U(depth))
-    return (h & U(SLOTS - 1)).astype(np.int64), ((h >> U(32)) | U(1)).astype(np.uint32)
+    return (h & U(SLOTS - 1)).astype(np.int64), ((h >> U(32)) | U(1)).astype(np.uint16)
+
+
+def packed(n: np.ndarray, one: np.ndarray, own: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """A node in one number, ordered by its count: 15 bits of it, 16 each of the probability, the weight and the tag."""
+    p = np.clip(np.rint(one * 65535), 1, 65534).astype(np.int64)
+    return np.minimum(n, (1 << 15) - 1) << 48 | p << 32 | np.rint(own * 65535).astype(np.int64) << 16 | tag.astype(np.int64)
 
 
 @dataclass
@@ -165,7 +171,7 @@ class Model:
                 code = (keys >> (8 * (DEPTH + 1 - depth))) << 8 | bits
                 if depth > 1:
                     slot, tag = slot_and_tag(depth, code)
-                    seen, one, own = self.tags[slot] == tag, self.ones[slot], self.own[slot]
+                    seen, one, own = self.tags[slot] == tag, self.ones[slot] / 65535.0, self.own[slot] / 65535.0
                 else:
                     known, table_one, table_own = self.short[depth]
                     at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
@@ -186,12 +192,10 @@ def fit(texts: DataFrame) -> Model:
     other's context counts as not seen.
     """
     spark = texts.sparkSession
-    found = checkpoint(gram_counts(texts))
     near = F.shiftright("key", _NEAR)
-    lined = found.repartition(worker_partitions(spark), near).sortWithinPartitions("key")
-    names = ("depth", "code", "slot", "tag", "zeros", "ones", "below", "one", "own")
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float32(), pa.float32())
-    schema = pa.schema(list(zip(names, kinds, strict=True)))
+    lined = gram_counts(texts).repartition(worker_partitions(spark), near).sortWithinPartitions("key")
+    names = ("place", "node", "zeros", "ones", "below")
+    schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)))
 
     def nodes(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         below: tuple[np.ndarray, np.ndarray] | None = None
@@ -201,13 +205,14 @@ def fit(texts: DataFrame) -> Model:
             if below is not None:
                 np.add.at(rest, np.searchsorted(code, parent(below[0])), below[1])
             if depth == 1:
-                out = {"slot": np.zeros(len(code), np.int64), "tag": np.zeros(len(code), np.int64), "one": np.zeros(len(code), np.float32), "own": np.zeros(len(code), np.float32)}
-            else:
-                total, own = weighted(code, zeros, ones, None if below is None else rest)
-                slot, tag = slot_and_tag(depth, code)
-                out = {"slot": slot, "tag": tag.astype(np.int64), "one": ((ones + 0.5) / (zeros + ones + 1)).astype(np.float32), "own": own.astype(np.float32)}
-                below = (code, total)
-            yield batch_of({"depth": np.full(len(code), depth, np.int32), "code": code, "zeros": zeros, "ones": ones, "below": rest, **out}, schema)
+                # short contexts are summed over tasks; their places lie below zero
+                yield batch_of({"place": -1 - code, "node": np.zeros(len(code), np.int64), "zeros": zeros, "ones": ones, "below": rest}, schema)
+                return
+            total, own = weighted(code, zeros, ones, None if below is None else rest)
+            slot, tag = slot_and_tag(depth, code)
+            nothing = {x: pa.nulls(len(code), schema.field(x).type) for x in ("zeros", "ones", "below")}
+            yield batch_of({"place": slot, "node": packed(zeros + ones, (ones + 0.5) / (zeros + ones + 1), own, tag), **nothing}, schema)
+            below = (code, total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -221,19 +226,22 @@ def fit(texts: DataFrame) -> Model:
         if len(keys):
             yield from nodes(keys, counts)
 
-    made = checkpoint(lined.mapInArrow(run, "depth int, code long, slot long, tag long, zeros long, ones long, below double, one float, own float"))
-    first = made.where("depth = 1").groupBy("code").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).toArrow().sort_by("code")
-    code, zeros, ones, rest = (first.column(c).to_numpy() for c in ("code", "zeros", "ones", "below"))
+    made = lined.mapInArrow(run, "place long, node long, zeros long, ones long, below double")
+    sums = [F.max("node").alias("node"), *[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]]
+    table = made.groupBy("place").agg(*sums).toArrow().sort_by("place")
+    place, node = table.column("place").to_numpy(), table.column("node").to_numpy()
+    longer = place >= 0
+    first = table.filter(pa.array(~longer)).sort_by([("place", "descending")])
+    code, zeros, ones, rest = (first.column(c).to_numpy() for c in ("place", "zeros", "ones", "below"))
+    code = -1 - code
     total, own = weighted(code, zeros, ones, rest)
     one_byte = (code, (ones + 0.5) / (zeros + ones + 1), own)
     root, at = np.unique(code & 0xFF, return_inverse=True)
     z, o, b = (np.bincount(at, weights=x, minlength=len(root)) for x in (zeros, ones, total))
     none = (root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1])
-    longer = made.where("depth > 1").groupBy("slot").agg(F.max(F.struct((F.col("zeros") + F.col("ones")).alias("n"), "depth", "tag", "one", "own")).alias("m"))
-    table = longer.select(F.col("slot").cast("int").alias("slot"), "m.tag", "m.one", "m.own").toArrow()
-    slot = table.column("slot").to_numpy()
-    model = Model([none, one_byte], np.zeros(SLOTS, np.uint32), np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32))
-    model.tags[slot], model.ones[slot], model.own[slot] = table.column("tag").to_numpy().astype(np.uint32), table.column("one").to_numpy(), table.column("own").to_numpy()
+    model = Model([none, one_byte], np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16))
+    slot, node = place[longer], node[longer]
+    model.tags[slot], model.ones[slot], model.own[slot] = node & 0xFFFF, (node >> 32) & 0xFFFF, (node >> 16) & 0xFFFF
     return model
 
 
@@ -263,7 +271,7 @@ def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     The word model must look up every word of every text, and its table grows with the corpus. A task therefore numbers
-    the distinct words of each 16 MB of text, and writes the texts as those numbers, together with the model's score;
+    the distinct words of each 32 MB of text, and writes the texts as those numbers, together with the model's score;
     only the distinct words are joined with their counts, and come back to their batch. Words are known by 64-bit hashes.
 
     Null or empty text: its end mark alone. A null id is a training document. Repeated rows count and score each for
@@ -293,8 +301,13 @@ def score(docs: DataFrame) -> DataFrame:
                     words.append(span_hashes(part, starts, ends, lower=True).view(np.int64))
                     counts.append(np.diff(first))
                 per_row, every = np.concatenate(counts), np.concatenate(words)
-                distinct = np.unique(every)
-                which = np.searchsorted(distinct, every).astype("<u4")
+                distinct, often = _counted(every)
+                # frequent words get small numbers, which pack better
+                order = np.argsort(-often, kind="stable")
+                rank = np.empty(len(order), "<u4")
+                rank[order] = np.arange(len(order), dtype="<u4")
+                which = rank[np.searchsorted(distinct, every)]
+                distinct = distinct[order]
                 to = np.concatenate([[0], np.cumsum(per_row)])
                 trained = np.repeat(~held[a:b], per_row)
                 seen = np.bincount(which[trained], minlength=len(distinct))
@@ -308,10 +321,15 @@ def score(docs: DataFrame) -> DataFrame:
                 number += 1
 
     coded = checkpoint(texts.mapInArrow(run, "batch long, word int, hash long, n long, doc_id long, held_out boolean, n_words long, score double, numbers binary"))
-    vocabulary = coded.where(F.col("word").isNotNull()).select("batch", "word", "hash", "n")
-    counts = checkpoint(vocabulary.groupBy("hash").agg(F.sum("n").alias("c")))
+    # a word has one row per batch, so its rows are few; they are summed where they meet and keep their batch
+    same = Window.partitionBy("hash")
+    known = coded.where(F.col("word").isNotNull()).select(
+        F.col("batch").alias("of"), "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("batch")) == 1).alias("once")
+    )
+    coming = checkpoint(known)
     ends = coded.where(F.col("word").isNull() & ~F.col("held_out")).count()
-    totals = counts.where("c > 0").agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
+    v = F.coalesce(F.sum(F.when(F.col("once") & (F.col("c") > 0), 1)), F.lit(0)).alias("v")
+    totals = coming.agg(v, F.coalesce(F.sum(F.when(F.col("once"), F.col("c"))), F.lit(0)).alias("n")).first()
     trained, kinds_ = totals.n + ends, totals.v + (ends > 0)
     whole = np.log10(trained + 0.5 * (kinds_ + 1))
     end_score, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
@@ -334,7 +352,6 @@ def score(docs: DataFrame) -> DataFrame:
             schema=result,
         )
 
-    coming = vocabulary.join(counts, "hash").select(F.col("batch").alias("of"), "word", "c")
     rows = coded.where(F.col("word").isNull()).select("batch", "doc_id", "held_out", "n_words", "score", "numbers")
     types = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("batch").cogroup(coming.groupBy("of")).applyInArrow(look_up, types)
+    return rows.groupBy("batch").cogroup(coming.select("of", "word", "c").groupBy("of")).applyInArrow(look_up, types)
