@@ -25,7 +25,7 @@ DEPTH = 5
 #: Places for the nodes of two and more bytes of context, 6 bytes each: the model's proven size bound (25 MB).
 SLOTS = 1 << 22
 #: Remembered byte strings of a task and the text worked on at a time.
-MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 21, 32_000_000, 4_000_000
+MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 20, 32_000_000, 2_000_000
 END = 0xFF
 #: Bits below the last two bytes of context.
 _NEAR = 8 * (DEPTH - 1)
@@ -260,7 +260,7 @@ class Scorer:
         missing = np.flatnonzero(self.keys[place] != keys)
         if len(missing):
             fresh = np.unique(keys[missing])
-            found = self.model.log10(fresh)
+            found = np.concatenate([self.model.log10(fresh[i : i + 50_000]) for i in range(0, len(fresh), 50_000)])
             value[missing] = found[np.searchsorted(fresh, keys[missing])]
             to = (mix(fresh.astype(np.uint64)) & U(MEMORY - 1)).astype(np.int64)
             self.keys[to], self.values[to] = fresh, found
@@ -300,17 +300,16 @@ def score(docs: DataFrame) -> DataFrame:
                     starts, ends, first = find_words(part, own)
                     words.append(span_hashes(part, starts, ends, lower=True).view(np.int64))
                     counts.append(np.diff(first))
-                per_row, every = np.concatenate(counts), np.concatenate(words)
-                distinct, often = _counted(every)
+                distinct, often = _counted(np.concatenate(words))
                 # frequent words get small numbers, which pack better
                 order = np.argsort(-often, kind="stable")
                 rank = np.empty(len(order), "<u4")
                 rank[order] = np.arange(len(order), dtype="<u4")
-                which = rank[np.searchsorted(distinct, every)]
-                distinct = distinct[order]
+                which = np.concatenate([rank[np.searchsorted(distinct, w)] for w in words])
+                distinct, words = distinct[order], []
+                per_row = np.concatenate(counts)
                 to = np.concatenate([[0], np.cumsum(per_row)])
-                trained = np.repeat(~held[a:b], per_row)
-                seen = np.bincount(which[trained], minlength=len(distinct))
+                seen = np.bincount(which[np.repeat(~held[a:b], per_row)], minlength=len(distinct))
                 n, m = b - a, len(distinct)
                 nothing = {x: pa.nulls(m, schema.field(x).type) for x in ("doc_id", "held_out", "n_words", "score", "numbers")}
                 yield batch_of({"batch": np.full(m, number), "word": np.arange(m, dtype=np.int32), "hash": distinct, "n": seen, **nothing}, schema)
