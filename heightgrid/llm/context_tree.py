@@ -228,10 +228,9 @@ def fit(texts: DataFrame) -> Model:
 
     made = lined.mapInArrow(run, "place long, node long, zeros long, ones long, below double")
     sums = [F.max("node").alias("node"), *[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]]
-    table = made.groupBy("place").agg(*sums).toArrow().sort_by("place")
-    place, node = table.column("place").to_numpy(), table.column("node").to_numpy()
-    longer = place >= 0
-    first = table.filter(pa.array(~longer)).sort_by([("place", "descending")])
+    table = checkpoint(made.groupBy("place").agg(*sums))
+    longer = table.where("place >= 0").select(F.col("place").cast("int").alias("place"), "node").toArrow()
+    first = table.where("place < 0").toArrow().sort_by([("place", "descending")])
     code, zeros, ones, rest = (first.column(c).to_numpy() for c in ("place", "zeros", "ones", "below"))
     code = -1 - code
     total, own = weighted(code, zeros, ones, rest)
@@ -240,7 +239,7 @@ def fit(texts: DataFrame) -> Model:
     z, o, b = (np.bincount(at, weights=x, minlength=len(root)) for x in (zeros, ones, total))
     none = (root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1])
     model = Model([none, one_byte], np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16))
-    slot, node = place[longer], node[longer]
+    slot, node = longer.column("place").to_numpy(), longer.column("node").to_numpy()
     model.tags[slot], model.ones[slot], model.own[slot] = node & 0xFFFF, (node >> 32) & 0xFFFF, (node >> 16) & 0xFFFF
     return model
 
