@@ -19,9 +19,9 @@ from heightgrid.operators.points import height_grid, in_range
 from heightgrid.operators.spatial_join import (
     BOX,
     cells_minus_boxes,
+    cells_minus_polygons,
     overlay_boxes_grid,
     points_to_grid_blocks,
-    sample_cells,
     spatial_semi_join,
     zonal_mean,
 )
@@ -35,12 +35,14 @@ def clean_tiles(
 ) -> tuple[DataFrame, DataFrame]:
     """Tiles with enough forest, their area without water, and no tile much smaller than the rest.
 
+    Water counts by its polygons where it carries ``geom``, else by its boxes.
     Returns the tiles (with ``cover`` and ``area``) and their dry cells. Both are read several times further on, so
     they are written once (checkpoint) instead of being worked out again at every use.
     """
     cover = zonal_mean(tiles, forest, "forest", forest_res, ["tile_id"], "cover").where(F.col("cover") >= min_cover)
     wooded = checkpoint(tiles.join(cover, "tile_id"))
-    dry = checkpoint(cells_minus_boxes(wooded, water, "tile_id", res))
+    polygons = "geom" in water.columns
+    dry = checkpoint(cells_minus_polygons(wooded, water, "tile_id", "geom", res) if polygons else cells_minus_boxes(wooded, water, "tile_id", res))
     area = dry.groupBy("tile_id").agg((F.count(F.lit(1)) * F.lit(float(res * res))).alias("area"))
     kept = stats.drop_small(area, "area", n_std)
     return wooded.join(kept, "tile_id"), dry.join(kept.select("tile_id"), "tile_id", "left_semi")
@@ -55,15 +57,16 @@ class TilePlan:
 
 
 def select_tiles(tiles: DataFrame, area: DataFrame, forest: DataFrame, water: DataFrame, s: Settings, year: int | None = None, done: DataFrame | None = None) -> TilePlan:
-    """Tiles of the area, of one year, clean, dealt over blocks and cover strata, and sampled.
+    """Tiles of the area, clean, dealt over blocks and cover strata, and sampled; of one year only if one is given.
+
+    The area comes first: the year is looked for among its own tiles, whatever other places hold.
 
     ``area`` carries ``geom`` and its box columns; ``tiles`` carries ``tile_id``, ``project`` and box columns.
     """
-    indexed = latest_or_given_year(tiles.withColumn("year", project_year("project")), year)
-    shaped = indexed.withColumn("t_geom", box_geom())
+    shaped = tiles.withColumn("year", project_year("project")).withColumn("t_geom", box_geom())
     inside = spatial_semi_join(shaped, area.select("geom", *BOX), ["tile_id"], "t_geom", "geom").where(is_valid("t_geom"))
-    inside = checkpoint(inside.drop("t_geom"))
-    kept, dry = clean_tiles(inside, forest, s.res_m, water, s.min_forest_cover, s.res_m, s.small_tile_std)
+    inside = checkpoint((inside if year is None else latest_or_given_year(inside, year)).drop("t_geom"))
+    kept, dry = clean_tiles(inside, forest, s.forest_pixel, water, s.min_forest_cover, s.res_m, s.small_tile_std)
     kept = checkpoint(kept)  # used for blocks, overlay and sampling
     blocks = checkpoint(sampling.spatial_blocks(kept, s.block_width, s.block_height, s.n_folds, s.seed, s.block_method))
     pairs = overlay_boxes_grid(kept, blocks, s.block_width, s.block_height).withColumn("cover_strata", cut("cover", COVER_EDGES, COVER_LABELS))
@@ -93,8 +96,9 @@ def sample_heights(points: DataFrame, plan: TilePlan, s: Settings, ground_known:
     counts = with_row(large.select("tile_id", "strata").distinct(), plan.points_per_tile.select("points_per_tile"))
     counts = counts.withColumn("n", sampling.allocation("strata", "points_per_tile", k, s.label_offset))
     drawn = sampling.random_points(large, ["tile_id", "strata"], counts.drop("points_per_tile"), "n", s.res_m, s.seed)
-    drawn = drawn.drop("cx", "cy").withColumn("label", stratum_label("strata", s.height_labels, s.label_offset))
-    high = sample_cells(drawn, chm.drop("tile_id"), s.res_m, how="inner").drop("cx", "cy")
+    drawn = drawn.withColumn("label", stratum_label("strata", s.height_labels, s.label_offset))
+    # a draw takes the height of its own tile, also where tiles overlap
+    high = drawn.join(chm, ["tile_id", "cx", "cy"]).drop("cx", "cy")
     high = high.where((F.col("height") > s.min_height) & (F.col("height") < s.max_height))
     return high.withColumn("id", stable_id("tile_id", "strata", "draw")).drop("draw")
 
