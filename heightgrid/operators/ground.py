@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from heightgrid.operators.points import GROUND_CLASS
 from heightgrid.session import checkpoint, worker_partitions
 
-MAX_TILE_CELLS = 36_000_000  # dense working array of one tile: 6 km x 6 km at one metre
+WINDOW_CELLS = 512  # cells along a side of a window of the ground filter, without its halo
+LOW_OUTLIER_SLOPE = 5.0  # fixed value of the published method: a lone pit steeper than this is no ground
 
 
 def _sliding(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
@@ -37,43 +38,66 @@ def _opening(a: np.ndarray, r: int) -> np.ndarray:
     return _sliding(_sliding(low, r, 0, np.maximum), r, 1, np.maximum)
 
 
+def _ground_surface(lowest: np.ndarray, steps: int, cell: float, slope: float, threshold: float, scalar: float):
+    """Ground height and permitted distance of each cell of a dense grid; absent cells are inf.
+
+    Openings with squares absorb each other, so each is taken from the lowest heights themselves: a cell depends on
+    cells within ``_reach(steps)`` of it and on no others.
+    """
+    absent = np.isinf(lowest)
+    with np.errstate(invalid="ignore"):
+        upside_down = np.where(absent, np.inf, -lowest)
+        outlier = ~absent & (upside_down - _opening(upside_down, 1) > LOW_OUTLIER_SLOPE * cell)
+        base = np.where(outlier, np.inf, lowest)
+        base = np.where(outlier, _opening(base, 1), base)
+        base = np.where(np.isfinite(base), base, lowest)
+        last, is_object = base, np.zeros(base.shape, dtype=bool)
+        for r in range(1, steps + 1):
+            opened = np.where(absent, np.inf, _opening(base, r))
+            is_object |= (last - opened) > slope * r * cell
+            last = opened
+        dem = np.where(is_object, last, base)
+        high = np.where(np.isinf(dem), -np.inf, dem)
+        rise = [(_sliding(high, 1, a, np.maximum) - _sliding(dem, 1, a, np.minimum)) / (2 * cell) for a in (0, 1)]
+    return dem, threshold + scalar * np.hypot(rise[0], rise[1])
+
+
+def _reach(steps: int) -> int:
+    """Cells that an outcome depends on in each direction: outlier pass (2 + 2), widest opening (2 * steps), slope (1)."""
+    return 2 * steps + 5
+
+
 def classify_ground(
     points: DataFrame, key: str = "tile_id", cell: float = 1.0, slope: float = 0.15, window: float = 18.0,
-    threshold: float = 0.5, scalar: float = 1.25,
+    threshold: float = 0.5, scalar: float = 1.25, span: int = WINDOW_CELLS,
 ) -> DataFrame:
-    """Simple morphological ground filter (Pingel, Clarke and McBride 2013); adds ``classification``.
+    """Simple morphological ground filter (Pingel, Clarke and McBride 2013) with square windows; adds ``classification``.
 
-    Points shrink map-side to one lowest height per cell. Only that grid, bounded by the tile's extent, goes to a
-    task for the openings with growing windows; the points themselves meet the resulting surface in an equi-join.
+    Points shrink map-side to one lowest height per cell. The grid is cut into windows of ``span`` x ``span`` cells,
+    each with a halo as wide as the filter reaches, so a task's array has a fixed size whatever the tile's extent and
+    the surface is the same for any ``span``. The points themselves meet the surface in an equi-join.
     """
     gx, gy = F.floor(F.col("x") / cell).alias("_gx"), F.floor(F.col("y") / cell).alias("_gy")
     low = points.groupBy(key, gx, gy).agg(F.min("z").alias("low"))
     steps = int(np.ceil(window / cell))
+    halo = _reach(steps)
+    side = span + 2 * halo
 
     def surface(pdf: pd.DataFrame) -> pd.DataFrame:
-        i = (pdf["_gx"] - pdf["_gx"].min()).to_numpy()
-        j = (pdf["_gy"] - pdf["_gy"].min()).to_numpy()
-        shape = (int(i.max()) + 1, int(j.max()) + 1)
-        if shape[0] * shape[1] > MAX_TILE_CELLS:
-            raise ValueError(f"tile {pdf[key].iloc[0]} spans {shape} cells; cut it into smaller tiles")
-        base = np.full(shape, np.inf)
-        base[i, j] = pdf["low"]
-        last, is_object = base, np.zeros(shape, dtype=bool)
-        with np.errstate(invalid="ignore"):
-            for r in range(1, steps + 1):
-                opened = np.where(np.isinf(base), np.inf, _opening(last, r))
-                is_object |= (last - opened) > slope * r * cell
-                last = opened
-            dem = np.where(is_object, last, base)
-            high = np.where(np.isinf(dem), -np.inf, dem)
-            rise = [
-                (_sliding(high, 1, a, np.maximum) - _sliding(dem, 1, a, np.minimum)) / (2 * cell) for a in (0, 1)
-            ]
-        limit = threshold + scalar * np.hypot(rise[0], rise[1])
-        return pdf[[key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
-
+        i = (pdf["_gx"] - pdf["_wx"] * span + halo).to_numpy()
+        j = (pdf["_gy"] - pdf["_wy"] * span + halo).to_numpy()
+        lowest = np.full((side, side), np.inf)
+        lowest[i, j] = pdf["low"]
+        dem, limit = _ground_surface(lowest, steps, cell, slope, threshold, scalar)
+        inner = (i >= halo) & (i < halo + span) & (j >= halo) & (j < halo + span)
+        i, j = i[inner], j[inner]
+        return pdf.loc[inner, [key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
+
+    windows = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / span), F.floor((F.col(c) + halo) / span)))
+    spread = low.withColumn("_wx", windows("_gx")).withColumn("_wy", windows("_gy"))
     schema = f"{key} {dict(points.dtypes)[key]}, _gx long, _gy long, _dem double, _limit double"
-    dem = low.repartition(worker_partitions(points.sparkSession), key).groupBy(key).applyInPandas(surface, schema)
+    by_window = [key, "_wx", "_wy"]
+    dem = spread.repartition(worker_partitions(points.sparkSession), *by_window).groupBy(*by_window).applyInPandas(surface, schema)
     tagged = points.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
     is_ground = F.abs(F.col("z") - F.col("_dem")) <= F.col("_limit")
     return (

@@ -66,3 +66,27 @@ def test_ground_filter_on_planted_surface(spark):
     wrong = out.where("block = (classification = 2)").count()
     assert wrong <= 0.01 * len(rows)
     assert out.where("block AND classification = 2").count() == 0
+
+
+def test_ground_filter_is_the_same_for_one_window_and_many(spark):
+    """Hills with gaps, blocks, deep pits and a lone point far away, which once made a tile too wide for one array."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for x in range(150):
+        for y in range(150):
+            if rng.random() < 0.2:
+                continue
+            z = 3 * np.sin(x / 20) + 2 * np.cos(y / 15)
+            z += 9.0 * (30 <= x < 40 and 60 <= y < 75) + rng.uniform(0, 15) * (rng.random() < 0.1) - 30.0 * (rng.random() < 0.002)
+            rows.append((1, x + 0.5, y + 0.5, float(z)))
+    rows.append((1, 9_000_000.5, 0.5, 1.0))
+    df = spark.createDataFrame(rows, "tile_id long, x double, y double, z double")
+    one, many = ({(r.x, r.y): r.classification for r in classify_ground(df, span=s).collect()} for s in (512, 48))
+    assert one == many and len(one) == len(rows)
+    assert {2, 1} == set(one.values())
+
+
+def test_a_lone_deep_pit_is_no_ground(spark):
+    rows = [(1, x + 0.5, y + 0.5, -20.0 if (x, y) == (10, 10) else 0.0) for x in range(20) for y in range(20)]
+    df = spark.createDataFrame(rows, "tile_id long, x double, y double, z double")
+    assert [(r.x, r.y) for r in classify_ground(df).where("classification <> 2").collect()] == [(10.5, 10.5)]
