@@ -17,7 +17,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     """Exact interpolated quantiles as array ``q`` (plus ``n``) per group, without one task holding a whole group.
 
     A mergeable sketch brackets each quantile first. The second pass counts what lies below the bracket and keeps only
-    the few values inside it (a 1/2,500 share of a large group), counted per distinct value.
+    the few values inside it (a 1/2,500 share of a large group), counted per distinct value. A wanted rank outside its
+    bracket is an error.
     """
     keys = keys or []
     named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
@@ -60,7 +61,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
             hit = F.when(acc["hit"].isNull() & (rank < seen), v["_in"]).otherwise(acc["hit"])
             return F.struct(seen.alias("seen"), hit.alias("hit"))
 
-        return F.aggregate("_vals", start, step)["hit"]
+        hit = F.when(rank >= F.col("_below"), F.aggregate("_vals", start, step)["hit"])
+        return F.coalesce(hit, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
 
     pos = F.col("p") * (F.col("n") - 1)
     lo, hi = at_rank(F.floor(pos)), at_rank(F.ceil(pos))
