@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from heightgrid.operators.filters import valid_pixels
 from heightgrid.operators.scoring import clamp_predictions
+from heightgrid.session import checkpoint
 from heightgrid.settings import N_BANDS
 
 
@@ -16,10 +17,12 @@ def predict_pixels(model: PipelineModel, pixels: DataFrame, key: str = "tile_id"
     """``(key, cx, cy, height)`` for every pixel: no lower than 0, NaN where a band is not a number.
 
     Masked pixels ride along with a vector of zeros, so one pass scores everything and no join puts them back.
-    Tiles without a single valid pixel give no rows.
+    Tiles without a single valid pixel give no rows; that is decided on the scored, narrow rows, so the vectors are
+    read once and never shuffled.
     """
     marked = valid_pixels(pixels.select(key, "cx", "cy", vector), vector, bands)
-    alive = marked.where("valid").select(key).distinct()
     safe = F.when(F.col("valid"), F.transform(vector, lambda v: v.cast("double"))).otherwise(F.array_repeat(F.lit(0.0), bands))
-    scored = model.transform(marked.join(alive, key, "left_semi").withColumn("features", array_to_vector(safe)))
-    return clamp_predictions(scored, "prediction", "valid", "height").select(key, "cx", "cy", F.col("height").cast("float"))
+    scored = clamp_predictions(model.transform(marked.withColumn("features", array_to_vector(safe))), "prediction", "valid", "height")
+    narrow = checkpoint(scored.select(key, "cx", "cy", F.col("height").cast("float").alias("height"), "valid"))
+    alive = narrow.where("valid").select(key).distinct()
+    return narrow.join(alive, key, "left_semi").select(key, "cx", "cy", "height")

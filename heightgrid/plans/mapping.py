@@ -16,6 +16,9 @@ from heightgrid.settings import NODATA, Settings
 from heightgrid.sources.outputs import pending, written_keys
 from heightgrid.sources.rasters import read_cells, write_cells
 
+#: Cells along a side of a written square of the map: a million cells to a task, however wide the area is.
+BLOCK_CELLS = 1000
+
 
 def area_of(sites: DataFrame, s: Settings, half: float = 10_000.0) -> DataFrame:
     """The area polygons with box columns, cut to a square round their centroid in test mode."""
@@ -46,7 +49,8 @@ def map_heights(area: DataFrame, pixels: DataFrame, model: PipelineModel, out: s
     write_cells(predict_pixels(model, keyed, "id"), f"{out}/tiles", "id")
     merged = mosaic_tiles(read_cells(spark, f"{out}/tiles"), "height", order="id")
     clipped = clip_cells(merged, area, "geom", s.res_m, "height", NODATA)
-    write_cells(clipped.withColumn("band", F.floor(F.col("cy") / 1000)), f"{out}/clipped", "band", "overwrite")
+    square = F.format_string("x%dy%d", F.floor(F.col("cx") / BLOCK_CELLS), F.floor(F.col("cy") / BLOCK_CELLS))
+    write_cells(clipped.withColumn("square", square), f"{out}/clipped", "square", "overwrite")
     final = read_cells(spark, f"{out}/clipped")
     views = pyramid(final.where(F.col("height") != NODATA), "height", levels)
-    return {"grid": grid, "map": final.drop("band"), "overviews": views}
+    return {"grid": grid, "map": final.drop("square"), "overviews": views}
