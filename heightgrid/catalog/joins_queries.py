@@ -37,7 +37,7 @@ def c1_water(t):
 @query(
     "c2_semi_join_union",
     f"""SELECT tile_id, round(xmin, 3) AS xmin, round(ymin, 3) AS ymin FROM tiles t
-        WHERE EXISTS (SELECT 1 FROM sites s WHERE s.site_name = 'BUILDING' AND s.half < 25 AND {_MEET})""",
+        WHERE EXISTS (SELECT 1 FROM sites s WHERE s.site_name = 'BUILDING' AND {_MEET})""",
 )
 def c2(t):
     """Tiles arrive in degrees, are reprojected, and kept when they meet the union of the other layer."""
@@ -52,7 +52,7 @@ def c2(t):
     )
     back = back.select("tile_id", geo.geometry("POLYGON", snapped).alias("t_geom"))
     back = back.withColumns({c: geo.bbox("t_geom")[c] for c in BOX})
-    other = site_geoms(t).where("site_name = 'BUILDING' AND half < 25")
+    other = site_geoms(t).where("site_name = 'BUILDING'")
     out = sj.spatial_semi_join(back, other.select("geom", *BOX), ["tile_id"], "t_geom", "geom")
     return out.select("tile_id", "xmin", "ymin")
 
@@ -71,7 +71,7 @@ def c3(t):
                    least(t.ymax - s.py, s.half) AS y2, greatest(t.ymin - s.py, -s.half) AS y1
                  FROM sites s JOIN tiles t ON t.xmin < s.px + s.half AND t.xmax > s.px - s.half
                                           AND t.ymin < s.py + s.half AND t.ymax > s.py - s.half),
-            -- area of the diamond within a quadrant-shaped window, brow inclusion and exclusion over the four corners
+            -- area of the diamond within a quadrant-shaped window, by inclusion and exclusion over the four corners
             q AS (SELECT site_id, tile_id, g.sign, half, g.a AS a, g.b AS b FROM p,
                     LATERAL (SELECT 1 AS sign, x2 AS a, y2 AS b UNION ALL SELECT -1, x1, y2 UNION ALL SELECT -1, x2, y1
                              UNION ALL SELECT 1, x1, y1) g),
@@ -124,12 +124,12 @@ def c5(t):
     """SELECT t.tile_id, count(*) AS n FROM tiles t,
          LATERAL (SELECT unnest(range(CAST(t.xmin / 10 AS BIGINT), CAST(t.xmax / 10 AS BIGINT))) AS cx) x,
          LATERAL (SELECT unnest(range(CAST(t.ymin / 10 AS BIGINT), CAST(t.ymax / 10 AS BIGINT))) AS cy) y
-       WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE s.half < 40 AND abs(cx * 10 + 5 - (s.px + 0.3)) + abs(cy * 10 + 5 - s.py) <= s.half)
+       WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE abs(cx * 10 + 5 - (s.px + 0.3)) + abs(cy * 10 + 5 - s.py) <= s.half)
        GROUP BY t.tile_id""",
 )
 def c5_polygons(t):
     """Difference with general polygons on cell centres."""
-    sites = t.sites.where("half < 40").withColumn("px", F.col("px") + F.lit(0.3)).withColumn("geom", diamond())
+    sites = t.sites.withColumn("px", F.col("px") + F.lit(0.3)).withColumn("geom", diamond())
     sites = sites.withColumns({c: geo.bbox("geom")[c] for c in BOX}).select("geom", *BOX)
     dry = sj.cells_minus_polygons(t.tiles, sites, "tile_id", "geom", 10.0)
     return dry.groupBy("tile_id").agg(F.count(F.lit(1)).alias("n"))
@@ -187,8 +187,8 @@ def c10(t):
 
 
 _CLIP = """(SELECT min(s.px + 0.3 - s.half) AS x1, max(s.px + 0.3 + s.half) AS x2, min(s.py - s.half) AS y1, max(s.py + s.half) AS y2
-             FROM sites s WHERE s.site_name = 'MACHINERY' AND s.half > 70)"""
-_IN_CLIP = """EXISTS (SELECT 1 FROM sites s WHERE s.site_name = 'MACHINERY' AND s.half > 70
+             FROM sites s WHERE s.site_name = 'MACHINERY')"""
+_IN_CLIP = """EXISTS (SELECT 1 FROM sites s WHERE s.site_name = 'MACHINERY'
                      AND abs(c.cx * 10 + 5 - (s.px + 0.3)) + abs(c.cy * 10 + 5 - s.py) <= s.half)"""
 
 
@@ -207,7 +207,7 @@ def c11_sparse(t):
 
 
 def _clip_layer(t):
-    s = t.sites.where("site_name = 'MACHINERY' AND half > 70").withColumn("px", F.col("px") + F.lit(0.3))
+    s = t.sites.where("site_name = 'MACHINERY'").withColumn("px", F.col("px") + F.lit(0.3))
     s = s.withColumn("geom", diamond())
     return s.withColumns({c: geo.bbox("geom")[c] for c in BOX}).select("geom", *BOX)
 
