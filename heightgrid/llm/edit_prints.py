@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.llm.text import batch_of, mix, plain_documents
+from heightgrid.llm.text import batch_of, chunks, mix, plain_documents, text_bytes
 from heightgrid.session import checkpoint
 
 PER_OCTAVE = 64
@@ -25,7 +25,7 @@ PER_OCTAVE = 64
 PERIOD = 4096
 #: Walks are looked over for finished ones after so many steps.
 ROUND = 64
-TEXT_CHARS = 16_000_000
+TEXT_CHARS = 8_000_000
 BANDS, BAND_STEPS = 8, 6
 
 _rng = np.random.Generator(np.random.PCG64(31415))
@@ -60,7 +60,7 @@ def walk(texts: list[str]) -> list[np.ndarray]:
     """Four bits of each sampled step for all texts, which walk side by side; a walk ends with its text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
-    letters = np.append(classes("".join(texts)), np.zeros(ROUND + 1, np.uint8))
+    letters = np.concatenate([*map(classes, texts), np.zeros(ROUND + 1, np.uint8)])
     who = np.flatnonzero(sizes > 0)
     at = (ends - sizes)[who].astype(np.int64)
     end = ends[who]
@@ -194,14 +194,10 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            rows = held + list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            a = size = 0
-            for i in range(1, len(rows)):
-                size += len(rows[i][1])
-                if size >= TEXT_CHARS or i == len(rows) - 1:
-                    yield _compared(rows[a : i + 1], schema)
-                    a, size = i, 0
-            held = rows[-1:]
+            for a, b in chunks(text_bytes(batch.column(1))[1], TEXT_CHARS):
+                rows = held + list(zip(*(c.slice(a, b - a).to_pylist() for c in batch.columns), strict=True))
+                yield _compared(rows, schema)
+                held = rows[-1:]
 
     types = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return lined.mapInArrow(run, types)
