@@ -106,7 +106,7 @@ def j11_erode(t):
          ON c.sx = CAST(floor((k.cx + 0.5) * 4 / 10) AS BIGINT) AND c.sy = CAST(floor((k.cy + 0.5) * 4 / 10) AS BIGINT)""",
 )
 def j12(t):
-    """The 10 m raster read at 4 m cells, nearest cell, brow way of degrees and back."""
+    """The 10 m raster read at 4 m cells, nearest cell, by way of degrees and back."""
     targets = t.points.select(F.floor(F.col("x") / 4).alias("cx"), F.floor(F.col("y") / 4).alias("cy")).distinct()
     return grid.resample(t.chm.select("cx", "cy", "height"), ["height"], 10.0, 32633, targets, 4.0, 32633).select("cx", "cy", "height")
 

@@ -111,9 +111,11 @@ def build_training_table(samples: DataFrame, blocks: DataFrame, pixels: DataFram
     return stats.remove_outliers(joined, "height", s.z_threshold)
 
 
-def build_dataset(points, tiles, area, forest, water, pixels, s: Settings, year: int | None = None) -> DataFrame:
-    """The whole job as one chain of Spark plans."""
-    plan = select_tiles(tiles, area, forest, water, s, year)
+def build_dataset(
+    points, tiles, area, forest, water, pixels, s: Settings, year: int | None = None, done: DataFrame | None = None
+) -> DataFrame:
+    """The whole job as one chain of Spark plans; tiles whose ``tile_id`` is in ``done`` are left out."""
+    plan = select_tiles(tiles, area, forest, water, s, year, done)
     samples = checkpoint(sample_heights(points, plan, s))
     return build_training_table(samples, plan.blocks, pixels, s)
 
