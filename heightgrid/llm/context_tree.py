@@ -22,11 +22,12 @@ from heightgrid.session import checkpoint, worker_partitions
 
 #: Bytes of context.
 DEPTH = 5
-#: Places for the nodes of two and more bytes of context, 6 bytes each: the model's proven size bound (25 MB).
-SLOTS = 1 << 22
-#: Remembered byte strings of a task and the text worked on at a time.
+#: Byte strings a task gathers before it passes them on, and the text worked on at a time.
 MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 20, 32_000_000, 2_000_000
+#: Rows a task passes on at a time.
+SENT = 20_000
 END = 0xFF
+WORD, GRAM, TEXT = range(3)
 #: Bits below the last two bytes of context.
 _NEAR = 8 * (DEPTH - 1)
 
@@ -136,25 +137,14 @@ def weighted(code: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.nd
     return total, np.exp(own - np.log(2) - total)
 
 
-def slot_and_tag(depth: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(code.astype(np.uint64) * U(8) + U(depth))
-    return (h & U(SLOTS - 1)).astype(np.int64), ((h >> U(32)) | U(1)).astype(np.uint16)
-
-
-def packed(n: np.ndarray, one: np.ndarray, own: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """A node in one number, ordered by its count: 15 bits of it, 16 each of the probability, the weight and the tag."""
-    p = np.clip(np.rint(one * 65535), 1, 65534).astype(np.int64)
-    return np.minimum(n, (1 << 15) - 1) << 48 | p << 32 | np.rint(own * 65535).astype(np.int64) << 16 | tag.astype(np.int64)
+Nodes = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass
 class Model:
-    """Nodes: probability of a one and own weight, for no and one byte of context by code, for longer ones by slot."""
+    """Nodes of each depth from none to five bytes of context: sorted code, probability of a one, own weight."""
 
-    short: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    tags: np.ndarray
-    ones: np.ndarray
-    own: np.ndarray
+    nodes: list[Nodes]
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the byte in each key after its context.
@@ -168,164 +158,194 @@ class Model:
             bits = (1 << bit) | byte >> (8 - bit)
             p, has = np.full(len(keys), 0.5), np.zeros(len(keys), bool)
             for depth in range(DEPTH, -1, -1):
+                known, table_one, table_own = self.nodes[depth]
+                if not len(known):
+                    continue
                 code = (keys >> (8 * (DEPTH + 1 - depth))) << 8 | bits
-                if depth > 1:
-                    slot, tag = slot_and_tag(depth, code)
-                    seen, one, own = self.tags[slot] == tag, self.ones[slot] / 65535.0, self.own[slot] / 65535.0
-                else:
-                    known, table_one, table_own = self.short[depth]
-                    at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
-                    if not len(known):
-                        continue
-                    seen, one, own = known[at] == code, table_one[at], table_own[at]
+                at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+                seen, one, own = known[at] == code, table_one[at], table_own[at]
                 p = np.where(seen, np.where(has, own * one + (1 - own) * p, one), p)
                 has |= seen
             total += np.log10(np.where(byte >> (7 - bit) & 1, p, 1 - p))
         return total
 
 
-def fit(texts: DataFrame) -> Model:
-    """The model of all training texts; what reaches the driver is bounded by ``SLOTS`` and by 65,536 short contexts.
+def long_nodes(keys: np.ndarray, counts: np.ndarray) -> tuple[list[Nodes], tuple[np.ndarray, ...]]:
+    """Nodes of two to five bytes, and for one byte the code, zeros, ones and the sum over its longer contexts.
 
-    Contexts with the same last two bytes meet in one task, where the nodes of five to two bytes are weighted;
-    their sums make the nodes of one byte and none. Where two nodes fall into one slot the more frequent stays, and the
-    other's context counts as not seen.
+    ``keys`` hold every training context that shares its last two bytes with one of them.
+    """
+    made: list[Nodes] = []
+    below: tuple[np.ndarray, np.ndarray] | None = None
+    for depth in range(DEPTH, 0, -1):
+        code, zeros, ones = decisions(keys, counts, depth)
+        rest = np.zeros(len(code))
+        if below is not None:
+            np.add.at(rest, np.searchsorted(code, parent(below[0])), below[1])
+        if depth == 1:
+            return made[::-1], (code, zeros, ones, rest)
+        total, own = weighted(code, zeros, ones, None if below is None else rest)
+        made.append((code, (ones + 0.5) / (zeros + ones + 1), own))
+        below = (code, total)
+    raise AssertionError
+
+
+def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first of them, a key, in pieces that hold whole groups of the last two bytes of context."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        now = [c.to_numpy() for c in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
+        cut = int(np.searchsorted(held[0], (held[0][-1] >> _NEAR) << _NEAR)) if len(held[0]) else 0
+        if cut > 200_000:
+            yield [x[:cut] for x in held]
+            held = [x[cut:] for x in held]
+    if held and len(held[0]):
+        yield held
+
+
+def _by_near(grams: DataFrame) -> DataFrame:
+    return grams.repartition(worker_partitions(grams.sparkSession), F.shiftright("key", _NEAR)).sortWithinPartitions("key")
+
+
+def short_nodes(grams: DataFrame) -> list[Nodes]:
+    """Nodes of none and one byte of context from ``key, n`` of the training text, keys in any number of rows.
+
+    Contexts with the same last two bytes meet in one task, and their sums make the shorter ones. What reaches the driver
+    is at most 65,536 nodes.
     """
-    spark = texts.sparkSession
-    near = F.shiftright("key", _NEAR)
-    lined = gram_counts(texts).repartition(worker_partitions(spark), near).sortWithinPartitions("key")
-    names = ("place", "node", "zeros", "ones", "below")
-    schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)))
-
-    def nodes(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        below: tuple[np.ndarray, np.ndarray] | None = None
-        for depth in range(DEPTH, 0, -1):
-            code, zeros, ones = decisions(keys, counts, depth)
-            rest = np.zeros(len(code))
-            if below is not None:
-                np.add.at(rest, np.searchsorted(code, parent(below[0])), below[1])
-            if depth == 1:
-                # short contexts are summed over tasks; their places lie below zero
-                yield batch_of({"place": -1 - code, "node": np.zeros(len(code), np.int64), "zeros": zeros, "ones": ones, "below": rest}, schema)
-                return
-            total, own = weighted(code, zeros, ones, None if below is None else rest)
-            slot, tag = slot_and_tag(depth, code)
-            nothing = {x: pa.nulls(len(code), schema.field(x).type) for x in ("zeros", "ones", "below")}
-            yield batch_of({"place": slot, "node": packed(zeros + ones, (ones + 0.5) / (zeros + ones + 1), own, tag), **nothing}, schema)
-            below = (code, total)
+    schema = pa.schema([("code", pa.int64()), ("zeros", pa.int64()), ("ones", pa.int64()), ("below", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            counts = np.concatenate([counts, batch.column(1).to_numpy()])
-            cut = int(np.searchsorted(keys, (keys[-1] >> _NEAR) << _NEAR)) if len(keys) else 0
-            if cut > 200_000:  # whole groups of the last two bytes of context
-                yield from nodes(keys[:cut], counts[:cut])
-                keys, counts = keys[cut:], counts[cut:]
-        if len(keys):
-            yield from nodes(keys, counts)
-
-    made = lined.mapInArrow(run, "place long, node long, zeros long, ones long, below double")
-    sums = [F.max("node").alias("node"), *[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]]
-    table = checkpoint(made.groupBy("place").agg(*sums))
-    longer = table.where("place >= 0").select(F.col("place").cast("int").alias("place"), "node").toArrow()
-    first = table.where("place < 0").toArrow().sort_by([("place", "descending")])
-    code, zeros, ones, rest = (first.column(c).to_numpy() for c in ("place", "zeros", "ones", "below"))
-    code = -1 - code
+        for keys, n in _near_groups(batches):
+            yield batch_of(dict(zip(schema.names, long_nodes(*_counted(keys, n))[1], strict=True)), schema)
+
+    made = _by_near(grams.select("key", "n")).mapInArrow(run, "code long, zeros long, ones long, below double")
+    first = made.groupBy("code").agg(*[F.sum(c).alias(c) for c in schema.names[1:]]).toArrow().sort_by("code")
+    code, zeros, ones, rest = (first.column(c).to_numpy() for c in schema.names)
     total, own = weighted(code, zeros, ones, rest)
     one_byte = (code, (ones + 0.5) / (zeros + ones + 1), own)
     root, at = np.unique(code & 0xFF, return_inverse=True)
     z, o, b = (np.bincount(at, weights=x, minlength=len(root)) for x in (zeros, ones, total))
-    none = (root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1])
-    model = Model([none, one_byte], np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16), np.zeros(SLOTS, np.uint16))
-    slot, node = longer.column("place").to_numpy(), longer.column("node").to_numpy()
-    model.tags[slot], model.ones[slot], model.own[slot] = node & 0xFFFF, (node >> 32) & 0xFFFF, (node >> 16) & 0xFFFF
-    return model
-
-
-class Scorer:
-    """Adds up a model's log10 probabilities over rows; remembers byte strings that it has looked up."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.keys = np.full(MEMORY, -1, np.int64)
-        self.values = np.zeros(MEMORY)
-
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        keys, rows = grams(data, offsets)
-        place = (mix(keys.astype(np.uint64)) & U(MEMORY - 1)).astype(np.int64)
-        value = self.values[place]
-        missing = np.flatnonzero(self.keys[place] != keys)
-        if len(missing):
-            fresh = np.unique(keys[missing])
-            found = np.concatenate([self.model.log10(fresh[i : i + 50_000]) for i in range(0, len(fresh), 50_000)])
-            value[missing] = found[np.searchsorted(fresh, keys[missing])]
-            to = (mix(fresh.astype(np.uint64)) & U(MEMORY - 1)).astype(np.int64)
-            self.keys[to], self.values[to] = fresh, found
-        return np.add.reduceat(value, rows[:-1]) if len(rows) > 1 else np.zeros(0)
+    return [(root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1]), one_byte]
+
+
+def fit(texts: DataFrame) -> Model:
+    """The model of a small table of training texts with all its nodes in one place; ``score`` never gathers them."""
+    grams = checkpoint(gram_counts(texts))
+    every = grams.toArrow()
+    return Model([*short_nodes(grams), *long_nodes(*_counted(every.column("key").to_numpy(), every.column("n").to_numpy()))[0]])
+
+
+def gram_scores(grams: DataFrame) -> DataFrame:
+    """``batch, key, value``: log10 probability of each row's key; ``n`` counts it in the training text of its batch.
+
+    Every node is used. Those of two and more bytes are made where their contexts meet, once for the sums of the shorter
+    ones and once for the values, and are never stored: a task holds those of some groups of two bytes of context.
+    """
+    short = grams.sparkSession.sparkContext.broadcast(short_nodes(grams.where("n > 0")))
+    schema = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("value", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, batch in _near_groups(batches):
+            distinct, counts = _counted(keys, n)
+            seen = counts > 0
+            model = Model([*short.value, *long_nodes(distinct[seen], counts[seen])[0]])
+            value = np.concatenate([model.log10(distinct[i : i + 50_000]) for i in range(0, len(distinct), 50_000)])
+            value = value[np.searchsorted(distinct, keys)]
+            for i in range(0, len(keys), SENT):
+                yield batch_of({"batch": batch[i : i + SENT], "key": keys[i : i + SENT], "value": value[i : i + SENT]}, schema)
+
+    return _by_near(grams.select("key", "n", "batch")).mapInArrow(run, "batch long, key long, value double")
+
+
+class Lookup:
+    """Values of distinct keys, most of them found at one place of a hash table and the others by halving."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.sorted, self.values = keys[order], values[order]
+        self.mask = U(min(1 << 22, 1 << (4 * len(keys)).bit_length()) - 1)
+        place = self._place(self.sorted)
+        self.at = np.zeros(int(self.mask) + 1, np.int32)
+        self.at[place] = np.arange(len(keys), dtype=np.int32)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.view(np.uint64)) & self.mask).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(0, self.values.dtype)
+        at = self.at[self._place(keys)]
+        other = np.flatnonzero(self.sorted[at] != keys)
+        at[other] = np.searchsorted(self.sorted, keys[other])
+        return self.values[at]
+
+
+class Counter:
+    """Distinct keys of all rows and how often each occurs in training rows."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, held: np.ndarray) -> None:
+        k, n = _counted(keys[~held])
+        other = _counted(keys[held])[0]
+        self.keys, self.counts = _counted(np.concatenate([self.keys, k, other]), np.concatenate([self.counts, n, np.zeros(len(other), np.int64)]))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
-    The word model must look up every word of every text, and its table grows with the corpus. A task therefore numbers
-    the distinct words of each 32 MB of text, and writes the texts as those numbers, together with the model's score;
-    only the distinct words are joined with their counts, and come back to their batch. Words are known by 64-bit hashes.
+    Both models must look up every byte string and word of every text, and their tables grow with the corpus. A task
+    therefore gathers the distinct ones of each 32 MB of text, and writes them next to the packed texts; only they are
+    joined with the models, and their values come back to their batch. Words are known by 64-bit hashes.
 
     Null or empty text: its end mark alone. A null id is a training document. Repeated rows count and score each for
     itself. Without training text every estimate is one half and the word model's counts are zero. An empty table gives
     an empty one; further columns are not read.
     """
-    spark = docs.sparkSession
     texts = plain_documents(docs, is_held_out().alias("held_out"))
-    model = spark.sparkContext.broadcast(fit(texts.where(~F.col("held_out"))))
-    names = ("batch", "word", "hash", "n", "doc_id", "held_out", "n_words", "score", "numbers")
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.binary())
+    names = ("batch", "kind", "key", "n", "doc_ids", "held_out", "sizes", "packed")
+    longs = pa.list_(pa.int64())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary())
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, packer = Scorer(model.value), zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             held = np.array(batch.column(2).to_pylist(), bool)
             for a, b in chunks(offsets, TEXT_BYTES):
-                words, scores, counts = [], [], []
+                found = {WORD: Counter(), GRAM: Counter()}
                 for i, j in chunks(offsets[a : b + 1], GRAM_BYTES):
-                    own = offsets[a + i : a + j + 1]
+                    i, j = a + i, a + j
+                    own = offsets[i : j + 1]
                     part, own = data[own[0] : own[-1]], own - own[0]
-                    scores.append(scorer.scores(part, own))
+                    keys, rows = grams(part, own)
+                    found[GRAM].add(keys, np.repeat(held[i:j], np.diff(rows)))
                     starts, ends, first = find_words(part, own)
-                    words.append(span_hashes(part, starts, ends, lower=True).view(np.int64))
-                    counts.append(np.diff(first))
-                distinct, often = _counted(np.concatenate(words))
-                # frequent words get small numbers, which pack better
-                order = np.argsort(-often, kind="stable")
-                rank = np.empty(len(order), "<u4")
-                rank[order] = np.arange(len(order), dtype="<u4")
-                which = np.concatenate([rank[np.searchsorted(distinct, w)] for w in words])
-                distinct, words = distinct[order], []
-                per_row = np.concatenate(counts)
-                to = np.concatenate([[0], np.cumsum(per_row)])
-                seen = np.bincount(which[np.repeat(~held[a:b], per_row)], minlength=len(distinct))
-                n, m = b - a, len(distinct)
-                nothing = {x: pa.nulls(m, schema.field(x).type) for x in ("doc_id", "held_out", "n_words", "score", "numbers")}
-                yield batch_of({"batch": np.full(m, number), "word": np.arange(m, dtype=np.int32), "hash": distinct, "n": seen, **nothing}, schema)
-                nothing = {x: pa.nulls(n, schema.field(x).type) for x in ("word", "hash", "n")}
-                numbers = [packer.compress(which[to[k] : to[k + 1]].tobytes()) for k in range(n)]
-                rows = {"doc_id": batch.column(0).slice(a, n), "held_out": batch.column(2).slice(a, n), "n_words": per_row, "score": np.concatenate(scores), "numbers": numbers}
-                yield batch_of({"batch": np.full(n, number), **nothing, **rows}, schema)
+                    found[WORD].add(span_hashes(part, starts, ends, lower=True).view(np.int64), np.repeat(held[i:j], np.diff(first)))
+                    text = {"doc_ids": [batch.column(0).slice(i, j - i).to_pylist()], "held_out": [held[i:j]], "sizes": [np.diff(own)], "packed": [packer.compress(part.tobytes())]}
+                    yield batch_of({"batch": [number], "kind": [TEXT], "key": [None], "n": [None], **text}, schema)
+                for kind, c in found.items():
+                    for i in range(0, len(c.keys), SENT):
+                        keys, counts = c.keys[i : i + SENT], c.counts[i : i + SENT]
+                        m = len(keys)
+                        nothing = {x: pa.nulls(m, schema.field(x).type) for x in names[4:]}
+                        yield batch_of({"batch": np.full(m, number), "kind": np.full(m, kind, np.int32), "key": keys, "n": counts, **nothing}, schema)
                 number += 1
 
-    coded = checkpoint(texts.mapInArrow(run, "batch long, word int, hash long, n long, doc_id long, held_out boolean, n_words long, score double, numbers binary"))
+    coded = checkpoint(texts.mapInArrow(run, "batch long, kind int, key long, n long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, packed binary"))
     # a word has one row per batch, so its rows are few; they are summed where they meet and keep their batch
-    same = Window.partitionBy("hash")
-    known = coded.where(F.col("word").isNotNull()).select(
-        F.col("batch").alias("of"), "word", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("batch")) == 1).alias("once")
+    same = Window.partitionBy("key")
+    known = coded.where(F.col("kind") == WORD).select(
+        "batch", "key", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("batch")) == 1).alias("once")
     )
     coming = checkpoint(known)
-    ends = coded.where(F.col("word").isNull() & ~F.col("held_out")).count()
+    trained_rows = F.size(F.filter("held_out", lambda x: ~x))
+    ends = coded.where(F.col("kind") == TEXT).agg(F.coalesce(F.sum(trained_rows), F.lit(0))).first()[0]
     v = F.coalesce(F.sum(F.when(F.col("once") & (F.col("c") > 0), 1)), F.lit(0)).alias("v")
     totals = coming.agg(v, F.coalesce(F.sum(F.when(F.col("once"), F.col("c"))), F.lit(0)).alias("n")).first()
     trained, kinds_ = totals.n + ends, totals.v + (ends > 0)
@@ -335,21 +355,26 @@ def score(docs: DataFrame) -> DataFrame:
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     )
 
-    def look_up(rows: pa.Table, words: pa.Table) -> pa.Table:
-        c = np.zeros(words.num_rows, np.int64)
-        c[words.column("word").to_numpy()] = words.column("c").to_numpy()
-        value, known, unpacker = np.log10(c + 0.5), c > 0, zstandard.ZstdDecompressor()
-        base, hits = [], []
-        for packed in rows.column("numbers").to_pylist():
-            which = np.frombuffer(unpacker.decompress(packed), "<u4")
-            base.append(float(value[which].sum()) + end_score - (len(which) + 1) * whole)
-            hits.append(int(known[which].sum()) + end_known)
-        tokens = rows.column("n_words").to_numpy() + 1
-        return pa.table(
-            {"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": tokens, "n_known": hits, "train_tokens": np.full(len(tokens), trained), "base_score": base, "score": rows.column("score")},
-            schema=result,
-        )
-
-    rows = coded.where(F.col("word").isNull()).select("batch", "doc_id", "held_out", "n_words", "score", "numbers")
+    def look_up(rows: pa.Table, values: pa.Table) -> pa.Table:
+        kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
+        words, strings = (Lookup(key[kind == k], value[kind == k]) for k in (WORD, GRAM))
+        unpacker, made = zstandard.ZstdDecompressor(), []
+        for ids, held, sizes, packed in zip(*(rows.column(c) for c in ("doc_ids", "held_out", "sizes", "packed")), strict=True):
+            offsets = np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
+            data, n = np.frombuffer(unpacker.decompress(packed.as_py()), np.uint8), len(offsets) - 1
+            keys, first = grams(data, offsets)
+            scores = np.add.reduceat(strings[keys], first[:-1])
+            starts, ends, first = find_words(data, offsets)
+            c, row = words[span_hashes(data, starts, ends, lower=True).view(np.int64)], np.repeat(np.arange(n), np.diff(first))
+            tokens = np.diff(first) + 1
+            base = np.bincount(row, np.log10(c + 0.5), n) + end_score - tokens * whole
+            hits = np.bincount(row[c > 0], minlength=n) + end_known
+            out = {"doc_id": ids.values, "held_out": held.values, "n_tokens": tokens, "n_known": hits, "train_tokens": np.full(n, trained), "base_score": base, "score": scores}
+            made.append(batch_of(out, result))
+        return pa.Table.from_batches(made, result)
+
+    rows = coded.where(F.col("kind") == TEXT).select("batch", "doc_ids", "held_out", "sizes", "packed")
+    scored = gram_scores(coded.where(F.col("kind") == GRAM).select("batch", "key", "n")).select("batch", F.lit(GRAM).alias("kind"), "key", "value")
+    values = coming.select("batch", F.lit(WORD).alias("kind"), "key", F.col("c").cast("double").alias("value")).unionByName(scored)
     types = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("batch").cogroup(coming.select("of", "word", "c").groupBy("of")).applyInArrow(look_up, types)
+    return rows.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(look_up, types)

@@ -289,6 +289,22 @@ def test_context_tree_against_plain_weighting(spark):
         assert math.isclose(model.log10(np.array([key]))[0], want, rel_tol=1e-4)
 
 
+def test_context_tree_keeps_every_node(spark):
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
+    texts = [letters[np.random.default_rng(i).integers(0, len(letters), 10_000)].tobytes().decode() for i in range(40)]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(40)]
+    keys = [context_tree.grams(*context_tree.text_bytes(pa.array([t])))[0] for t in texts]
+    every, n = np.unique(np.concatenate([k for k, h in zip(keys, held, strict=True) if not h]), return_counts=True)
+    nodes = [len(context_tree.decisions(every, n, d)[0]) for d in range(6)]
+    assert sum(nodes) > 1 << 22
+    model = context_tree.fit(spark.createDataFrame([(t,) for t, h in zip(texts, held, strict=True) if not h], "text string"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = by_id(context_tree.score(docs).collect())
+    assert [len(x[0]) for x in model.nodes] == nodes
+    for i, k in enumerate(keys):
+        assert got[i].held_out == held[i] and math.isclose(got[i].score, model.log10(k).sum(), rel_tol=1e-9)
+
+
 def test_context_tree_odd_rows(spark, odd):
     rows = context_tree.score(odd).collect()
     assert len(rows) == len(ODD) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
