@@ -8,7 +8,7 @@ what the walks write. A fingerprint keeps 64 steps of each octave of steps, four
 from __future__ import annotations
 
 import hashlib
-import zlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.llm.text import batch_of, chunks, mix, plain_documents, text_bytes
-from heightgrid.session import checkpoint
+from heightgrid.session import checkpoint, worker_partitions
 
 PER_OCTAVE = 64
 #: Steps the random bits are drawn for; longer walks begin them anew.
@@ -27,6 +27,8 @@ PERIOD = 4096
 ROUND = 64
 TEXT_CHARS = 8_000_000
 BANDS, BAND_STEPS = 8, 6
+#: Rows of a bucket in a block.
+BLOCK = 512
 
 _rng = np.random.Generator(np.random.PCG64(31415))
 _MOVES = _rng.integers(0, 2, (PERIOD, 256), dtype=np.int8)
@@ -225,16 +227,21 @@ def _compared(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def band_keys(samples: np.ndarray) -> list[int]:
-    """Keys of steps drawn from the last two octaves that the text fills, with the octave; shorter texts use what they have."""
+    """Keys of steps drawn from the last two octaves that the text fills, with the octave.
+
+    A text that fills none has its own keys, of steps drawn from those it has in three sizes: from its first 8, 16, 32
+    and so on, so that texts of different lengths meet in what both have.
+    """
     filled = (samples.reshape(-1, PER_OCTAVE) != _ABSENT).all(axis=1).sum()
-    if not filled:
-        return [zlib.crc32(samples.tobytes())] if (samples != _ABSENT).any() else []
+    # a text that fills one octave at most also meets those that fill none
+    spans = [(1_000_000 + n, 0, n) for n in (1, 2, 4, 8, 16, 32, 64) if n <= (samples != _ABSENT).sum()][-3:] if filled < 2 else []
+    spans += [(octave, octave * PER_OCTAVE, PER_OCTAVE) for octave in range(max(0, filled - 2), filled)]
     keys = []
-    for octave in range(max(0, filled - 2), filled):
-        own = samples[octave * PER_OCTAVE : (octave + 1) * PER_OCTAVE].astype(np.uint64)
+    for name, start, n in spans:
+        own = samples[start : start + n].astype(np.uint64)
         for b in range(BANDS):
-            pick = np.random.Generator(np.random.PCG64([octave, b])).choice(PER_OCTAVE, BAND_STEPS, replace=False)
-            key = np.array([octave * 1_000 + b], np.uint64)
+            pick = np.random.Generator(np.random.PCG64([name, b])).choice(n, min(BAND_STEPS, n), replace=False)
+            key = np.array([name * 1_000 + b], np.uint64)
             for v in own[pick]:
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + v)
             keys.append(int(key.view(np.int64)[0]))
@@ -242,26 +249,68 @@ def band_keys(samples: np.ndarray) -> list[int]:
 
 
 def near_texts(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """``a, b, likeness``: documents whose fingerprint is as near as ``least`` to that of the smallest id in a shared band.
+    """``a, b, likeness``: links between documents that share a band and whose fingerprints are as near as ``least``.
 
-    Bands are keys of sampled steps. Every document of a bucket is compared with one, so a group of copies of any size
-    makes a star and not all pairs; the comparison reads both fingerprints.
+    Equal fingerprints are linked to their smallest id and go on as one. In each bucket all others are compared,
+    those that have become connected within their two blocks excepted, so a group of near texts gives links that connect
+    it and not all pairs.
+    A bucket's members are dealt to blocks; a row goes to each pair of blocks it belongs to, and pairs never become rows.
+    An id repeated with other texts is compared by each text; links of an id with itself are left out.
     """
-    printed = checkpoint(fingerprints(docs).where(F.col("doc_id").isNotNull() & (F.col("fingerprint") != "")).dropDuplicates(["doc_id"]))
+    spark = docs.sparkSession
+    printed = checkpoint(fingerprints(docs).where(F.col("doc_id").isNotNull() & (F.col("fingerprint") != "")).select("doc_id", "fingerprint").distinct())
+    classes = checkpoint(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")))
 
     @F.pandas_udf("array<long>")
     def keys(v: pd.Series) -> pd.Series:
         return v.map(lambda t: band_keys(_samples(t)))
 
-    @F.pandas_udf("double")
-    def near(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([likeness(_samples(s), _samples(t)) for s, t in zip(x, y, strict=True)], dtype="float64")
+    banded = classes.select("a", "fingerprint", F.explode(F.array_distinct(keys("fingerprint"))).alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = banded.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("fingerprint", "key"), blocks).cast("int"))
+    spread = (
+        dealt.select("key", "own", "a", "fingerprint", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "a", "fingerprint")
+        .repartition(worker_partitions(spark), "key", "x", "y")
+        .sortWithinPartitions("key", "x", "y", "a", "fingerprint")
+    )
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likeness", pa.float64())])
 
-    banded = printed.select("doc_id", F.explode(keys("fingerprint")).alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("doc_id").alias("a"))
-    pairs = banded.join(hubs, "key").where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    left, right = (printed.select(F.col("doc_id").alias(c), F.col("fingerprint").alias(f"print_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", near("print_a", "print_b").alias("likeness")).where(F.col("likeness") >= least)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for _, group in itertools.groupby(rows, key=lambda r: r[:3]):
+            links = _links([r[3:] for r in group], least)
+            if links:
+                yield batch_of(dict(zip(schema.names, zip(*links, strict=True), strict=True)), schema)
+
+    copies = printed.join(classes.where("n > 1"), "fingerprint").where("a < doc_id").select("a", F.col("doc_id").alias("b"), F.lit(1.0).alias("likeness"))
+    found = spread.mapInArrow(run, "a long, b long, likeness double")
+    return copies.union(found).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+
+
+def _links(members: list[tuple[int, int, str]], least: float) -> list[tuple[int, int, float]]:
+    """Links within one pair of blocks, from each row's block, id and fingerprint; two blocks are compared across only."""
+    samples = [_samples(m[2]) for m in members]
+    n = max(map(len, samples))
+    table = np.full((len(members), n), _ABSENT, np.uint8)
+    for row, s in zip(table, samples, strict=True):
+        row[: len(s)] = s
+    own, ids = (np.array([m[i] for m in members]) for i in (0, 1))
+    label, weights, links = np.arange(len(members)), octave_weights(n), []
+    across = own.min() < own.max()
+    for r in range(1, len(members)):
+        c = np.flatnonzero((label[:r] != label[r]) & ((own[:r] != own[r]) if across else True))
+        w = weights * ((table[c] != _ABSENT) | (table[r] != _ABSENT))
+        near = (w * (table[c] == table[r])).sum(axis=1) / w.sum(axis=1)
+        for k in np.argsort(-near, kind="stable"):
+            if near[k] < least:
+                break
+            if label[c[k]] != label[r]:
+                label[label == label[c[k]]] = label[r]
+                if ids[c[k]] != ids[r]:
+                    links.append((int(min(ids[c[k]], ids[r])), int(max(ids[c[k]], ids[r])), float(near[k])))
+    return links
 
 
 def _samples(text: str) -> np.ndarray:

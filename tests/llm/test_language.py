@@ -425,3 +425,20 @@ def test_edit_walks_follow_few_edits_and_pair(spark):
     docs = spark.createDataFrame([(1, text), (2, near), (3, other), (4, text)], "doc_id long, text string")
     pairs = {(r.a, r.b) for r in edit_prints.near_texts(docs, 0.75).collect()}
     assert {(1, 2), (1, 4)} <= pairs and not any(3 in p for p in pairs)
+
+
+def test_edit_walks_pair_behind_another_text():
+    # one bucket, whose smallest id is like no other
+    text = " ".join(f"word{i * 7919 % 1000}" for i in range(600))
+    near, other = text[:2000] + text[2010:], " ".join(f"term{i * 104729 % 997}" for i in range(600))
+    members = [(0, i, edit_prints.as_text(edit_prints.walk([t])[0])) for i, t in enumerate((other, text, near), 1)]
+    assert [x[:2] for x in edit_prints._links(members, 0.75)] == [(2, 3)]
+    assert [x[:2] for x in edit_prints._links([(i % 2, *m[1:]) for i, m in enumerate(members)], 0.75)] == [(2, 3)]
+
+
+def test_edit_walks_short_texts_and_repeated_ids(spark):
+    text = " ".join(f"word{i * 7919 % 1000}" for i in range(600))
+    other = " ".join(f"term{i * 104729 % 997}" for i in range(600))
+    rows = [(1, other), (2, "a short line of words"), (3, "a short line of wordz"), (4, text), (5, other), (5, text), (6, "x")]
+    pairs = {(r.a, r.b) for r in edit_prints.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), 0.75).collect()}
+    assert pairs == {(1, 5), (2, 3), (4, 5)}
