@@ -107,6 +107,24 @@ def test_network_learns_and_keeps_recall():
     assert secrets.train(x[:4], y[:4]) is None
 
 
+class Marks:
+    """Stands for a network: a window with the mark inside is a secret."""
+
+    threshold = 0.5
+
+    def probability(self, x):
+        return np.array([float(b"S3cr" in w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE].tobytes()) for w in x])
+
+
+def test_secrets_behind_a_long_name(spark):
+    texts = ["see " + "service.production.eu-west.credential.value=" + "x" * k + "S3cr" + "y" * 30 + " end" for k in (0, 7, 31, 90)] + ["see service.production.eu-west.credential.value=" + "x1" * 60]
+    data, offsets = secrets.text_bytes(pa.array(texts))
+    a, b = secrets.candidates(data, offsets)
+    assert len(a) == 5 and secrets.probabilities(Marks(), data, offsets[:-1], offsets[1:], a, b).tolist() == [1, 1, 1, 1, 0]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Marks()).collect()
+    assert [by_id(rows)[i].n_network for i in range(5)] == [1, 1, 1, 1, 0]
+
+
 def test_secrets_odd_rows_and_redaction(spark, odd):
     rows = secrets.scan(odd, None).collect()
     assert len(rows) == len(ODD) and by_id(rows)[9].n_assign == 1 and by_id(rows)[9].n_access == 1 and by_id(rows)[2].spans == ""
