@@ -67,11 +67,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of 12 credential characters or more that mix letters with digits, or capitals into the inside."""
     a, b = _runs(_IN_RUN[data], offsets, _LEAST_CANDIDATE)
+    good = _mixed(data, a, b)
+    return a[good], b[good]
+
+
+def _mixed(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     count = lambda table: np.concatenate([[0], np.cumsum(table[data])])
     digits, letters, capitals = count(_IS_DIGIT), count(_IS_LETTER), count(_IS_UPPER)
     n_letters, n_capitals = letters[b] - letters[a], capitals[b] - capitals[a + 1]
-    good = ((digits[b] > digits[a]) & (n_letters > 0)) | ((n_capitals > 0) & (n_letters - 1 > n_capitals))
-    return a[good], b[good]
+    return ((digits[b] > digits[a]) & (n_letters > 0)) | ((n_capitals > 0) & (n_letters - 1 > n_capitals))
 
 
 def windows(data: np.ndarray, row_a: np.ndarray, row_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -232,6 +236,30 @@ def probabilities(network: Network, data: np.ndarray, row_a: np.ndarray, row_b:
     return best
 
 
+def network_spans(network: Network | None, data: np.ndarray, offsets: np.ndarray, scanned: tuple) -> Iterator[tuple[int, int, int]]:
+    """Row, start and end in code points of what the network finds in the candidates and, where a base span covers only
+    a part of one, in its other parts that are candidates by themselves."""
+    base, row, a, b, points, touched = scanned
+    if network is None or not len(a):
+        return
+    parts = []
+    for k in np.flatnonzero(touched):
+        at, end = (int(x) for x in points[:, k])
+        for s, e, _ in [*base[row[k]], (end, end, 0)]:
+            if min(s, end) - at >= _LEAST_CANDIDATE:
+                parts.append((k, at - points[0, k], min(s, end) - points[0, k]))
+            at = max(at, e)
+    of, start, stop = np.array(parts, np.int64).reshape(-1, 3).T
+    start, stop = a[of] + start, a[of] + stop
+    good = _mixed(data, start, stop) if len(of) else np.zeros(0, bool)
+    rest = np.flatnonzero(~touched)
+    of, start, stop = (np.concatenate([x, y[good]]) for x, y in ((rest, of), (a[rest], start), (b[rest], stop)))
+    p = probabilities(network, data, offsets[row[of]], offsets[row[of] + 1], start, stop)
+    for i in np.flatnonzero(p >= network.threshold):
+        k = of[i]
+        yield int(row[k]), int(points[0, k] + start[i] - a[k]), int(points[0, k] + stop[i] - a[k])
+
+
 def labelled_windows(docs: DataFrame, per_label: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows of up to ``per_label`` findings of the base rules and as many other candidates, picked by a hash of their bytes.
 
@@ -278,13 +306,11 @@ def scan(docs: DataFrame, network: Network | None) -> DataFrame:
             data, offsets = text_bytes(batch.column(1))
             for i, j in chunks(offsets):
                 part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                base, row, a, b, points, touched = _scan(part, own)
+                scanned = _scan(part, own)
+                base = scanned[0]
                 spans = [list(s) for s in base]
-                if network is not None and not touched.all():
-                    rest = np.flatnonzero(~touched)
-                    p = probabilities(network, part, own[row[rest]], own[row[rest] + 1], a[rest], b[rest])
-                    for k in rest[p >= network.threshold]:
-                        spans[row[k]].append((int(points[0, k]), int(points[1, k]), 3))
+                for k, s, e in network_spans(network, part, own, scanned):
+                    spans[k].append((s, e, 3))
                 named = [[f"{KINDS[k]}:{s}:{e}" for s, e, k in sorted(x, key=lambda v: (v[0], v[2], v[1]))] for x in (*base, *spans)]
                 n = j - i
                 count = lambda k: [sum(v[2] == k for v in x) for x in spans]
@@ -319,13 +345,10 @@ def redact(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95, mask:
             changed: dict[int, str] = {}
             for i, j in chunks(offsets):
                 part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                base, row, a, b, points, touched = _scan(part, own)
-                spans = [[(s, e) for s, e, _ in x] for x in base]
-                if network is not None and not touched.all():
-                    rest = np.flatnonzero(~touched)
-                    p = probabilities(network, part, own[row[rest]], own[row[rest] + 1], a[rest], b[rest])
-                    for k in rest[p >= network.threshold]:
-                        spans[row[k]].append((int(points[0, k]), int(points[1, k])))
+                scanned = _scan(part, own)
+                spans = [[(s, e) for s, e, _ in x] for x in scanned[0]]
+                for k, s, e in network_spans(network, part, own, scanned):
+                    spans[k].append((s, e))
                 for k, x in enumerate(spans):
                     if x:
                         changed[i + k] = masked(part[own[k] : own[k + 1]].tobytes().decode(), x, mask)

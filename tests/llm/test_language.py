@@ -125,6 +125,12 @@ def test_secrets_behind_a_long_name(spark):
     assert [by_id(rows)[i].n_network for i in range(5)] == [1, 1, 1, 1, 0]
 
 
+def test_secrets_beside_a_base_span(spark):
+    texts = ["é deadbeefdeadbeef/ghp_S3crR4nd0mText end", "ghp_S3crR4nd0mText/deadbeefdeadbeef", "deadbeefdeadbeef/S3cr", "ghp_S3crR4nd0mText"]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Marks()).collect()
+    assert [by_id(rows)[i].spans for i in range(4)] == ["hex:2:18,network:18:37", "network:0:19,hex:19:35", "hex:0:16", "network:0:18"]
+
+
 def test_secrets_odd_rows_and_redaction(spark, odd):
     rows = secrets.scan(odd, None).collect()
     assert len(rows) == len(ODD) and by_id(rows)[9].n_assign == 1 and by_id(rows)[9].n_access == 1 and by_id(rows)[2].spans == ""
