@@ -107,27 +107,43 @@ def test_network_learns_and_keeps_recall():
     assert secrets.train(x[:4], y[:4]) is None
 
 
-class Marks:
-    """Stands for a network: a window with the mark inside is a secret."""
+def marks():
+    class Marks:
+        """Stands for a network: a window with the mark inside is a secret."""
 
-    threshold = 0.5
+        threshold = 0.5
 
-    def probability(self, x):
-        return np.array([float(b"S3cr" in w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE].tobytes()) for w in x])
+        def probability(self, x):
+            return np.array([float(b"S3cr" in w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE].tobytes()) for w in x])
+
+    return Marks()
+
+
+def test_network_keeps_recall_below_one_half():
+    r = np.random.default_rng(5)
+    y = (np.arange(400) % 2 == 0).astype(np.float32)
+    hidden = (y == 1) & (np.arange(400) % 10 < 2)  # a fifth of the secrets look like the other candidates
+    x = np.where(((y == 1) & ~hidden)[:, None], r.integers(65, 91, (400, secrets.WINDOW)), r.integers(97, 123, (400, secrets.WINDOW))).astype(np.uint8)
+    order = r.permutation(400)
+    x, y = x[order], y[order]
+    net = secrets.train(x, y, recall=0.95)
+    every, truth = np.concatenate([x, secrets._without_context(x)]), np.tile(y, 2)
+    held = np.tile(np.arange(400) % 4 == 3, 2)
+    assert (net.probability(every[held & (truth > 0)]) >= net.threshold).mean() >= 0.95
 
 
 def test_secrets_behind_a_long_name(spark):
     texts = ["see " + "service.production.eu-west.credential.value=" + "x" * k + "S3cr" + "y" * 30 + " end" for k in (0, 7, 31, 90)] + ["see service.production.eu-west.credential.value=" + "x1" * 60]
     data, offsets = secrets.text_bytes(pa.array(texts))
     a, b = secrets.candidates(data, offsets)
-    assert len(a) == 5 and secrets.probabilities(Marks(), data, offsets[:-1], offsets[1:], a, b).tolist() == [1, 1, 1, 1, 0]
-    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Marks()).collect()
+    assert len(a) == 5 and secrets.probabilities(marks(), data, offsets[:-1], offsets[1:], a, b).tolist() == [1, 1, 1, 1, 0]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), marks()).collect()
     assert [by_id(rows)[i].n_network for i in range(5)] == [1, 1, 1, 1, 0]
 
 
 def test_secrets_beside_a_base_span(spark):
     texts = ["é deadbeefdeadbeef/ghp_S3crR4nd0mText end", "ghp_S3crR4nd0mText/deadbeefdeadbeef", "deadbeefdeadbeef/S3cr", "ghp_S3crR4nd0mText"]
-    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Marks()).collect()
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), marks()).collect()
     assert [by_id(rows)[i].spans for i in range(4)] == ["hex:2:18,network:18:37", "network:0:19,hex:19:35", "hex:0:16", "network:0:18"]
 
 
