@@ -9,11 +9,11 @@ When a phrase began to count follows from a table of fixed size that says for ea
 slot reached the threshold first. Slots hold hashes: two phrases in one slot make others count that need not, never
 fewer, and the start of a phrase does not change later, so its cycle is full. Counts are numbers under 64-bit hashes of
 language and words, packed by ranges of the hash; a task sums what it sees before it passes it on, and what completes
-its cycle below the threshold is let go. A last scan gives the frequent hashes their words. Two phrases of one hash
+its cycle below the threshold is let go. A last reading gives the frequent hashes their words. Two phrases of one hash
 would share a count; with a million frequent and ten thousand million other phrases the odds for any are 5 in 10,000.
 
 Defined results: a null text is empty, a null language ``und``; repeated rows count as often as they stand there; an
-empty table gives no rows; further columns are left behind. Memory follows 4 MB of text in a task, or the longest text
+empty table gives no rows; further columns are left behind. Memory follows 2 MB of text in a task, or the longest text
 where that is more, and the counts of one range of hashes.
 """
 
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +31,13 @@ from heightgrid.llm.text import LOWER, U, batch_of, chunks, mix, rolled, span_ha
 from heightgrid.session import checkpoint, scratch_path, worker_partitions
 
 #: Longest phrase, text worked on at a time, counts a task gathers before it passes them on.
-LONGEST, TEXT_BYTES, GATHERED = 5, 4_000_000, 2_000_000
+LONGEST, TEXT_BYTES, GATHERED = 5, 2_000_000, 2_000_000
 #: Slots of the table of starts (one byte each), and the mark of a slot that nothing has reached.
 SLOTS, NEVER = 1 << 22, 255
 #: Ranges of hashes per partition.
 RANGES = 4
+#: Bits of the filter for the hashes that still want their words, and the sixteenths of the documents that are searched for them in turn.
+WANTED, TURNS = 1 << 26, ((0, 1), (1, 4), (4, 16))
 
 BREAK, GAP = np.zeros(256, bool), np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -125,17 +128,16 @@ def added(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def packed(records: np.ndarray) -> bytes:
-    """Records column by column, which compresses better."""
-    return b"".join(np.ascontiguousarray(records[name]).tobytes() for name in RECORD.names)
+    """Ordered records byte by byte of their columns, hashes as steps from one to the next, compressed."""
+    steps = records.copy()
+    steps["key"][1:] -= records["key"][:-1]
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(len(steps), RECORD.itemsize).T.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    n = len(data) // RECORD.itemsize
-    out, at = np.zeros(n, RECORD), 0
-    for name in RECORD.names:
-        size = RECORD[name].itemsize * n
-        out[name] = np.frombuffer(data, RECORD[name], n, at)
-        at += size
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(RECORD.itemsize, -1)
+    out = planes.T.copy().view(RECORD).reshape(-1)
+    out["key"] = np.cumsum(out["key"], dtype=np.uint64)
     return out
 
 
@@ -205,20 +207,19 @@ def _merger(scan: int, shards: int, threshold: int, slots: int):
     return merge
 
 
-def _namer(started):
+def _namer(wanted):
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Words of every phrase that may be frequent, once for a chunk of text and what was seen before; words of each language."""
+        """Words of every phrase whose hash may be wanted, but not again what was seen before; words of each language."""
         seen = np.zeros(0, np.uint64)
         total: dict[str, int] = {}
         for words, languages in _batches(batches):
             per_row = np.bincount(words.row, minlength=len(languages))
             for lang, n in zip(languages, per_row.tolist(), strict=True):
                 total[lang] = total.get(lang, 0) + n
-            before, fresh = None, []
+            fresh = []
             for n, keys, whole in words.keys():
-                own = started.value[(keys & U(len(started.value) - 1)).astype(np.int64)] != NEVER
-                on = np.flatnonzero(whole & (own if n < LONGEST else before[:-1] & before[1:]))
-                before = own & whole
+                slot = keys & U(WANTED - 1)
+                on = np.flatnonzero(whole & (wanted.value[(slot >> U(3)).astype(np.int64)] >> (slot & U(7)).astype(np.uint8) & 1).astype(bool))
                 found, first = np.unique(keys[on], return_index=True)
                 unseen = ~np.isin(found, seen, assume_unique=True)
                 found, at = found[unseen], on[first[unseen]]
@@ -240,14 +241,37 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of({"key": records["key"].view(np.int64), "a": records["n"]}, PAIR)
 
 
-def _reached(state: DataFrame, slots: int) -> np.ndarray:
-    """Slots that a scan brought to the threshold, as bits: at most ``slots / 8`` bytes come to the driver."""
-    slot = state.select(F.explode("reached").alias("slot")).select((F.col("slot") + 1).alias("slot"))
-    pages = slot.groupBy(F.expr("bitmap_bucket_number(slot)").alias("page")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
-    on = np.zeros(-(-slots // 32_768) * 32_768, bool)
+def _bits(slot: DataFrame, slots: int) -> np.ndarray:
+    """The values of the column ``slot`` as packed bits, lowest first: ``slots / 8`` bytes at most come to the driver."""
+    counted = slot.select((F.col("slot") + 1).alias("slot"))
+    pages = counted.groupBy(F.expr("bitmap_bucket_number(slot)").alias("page")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
+    on = np.zeros(-(-slots // 32_768) * 4096, np.uint8)
     for page, bits in pages.collect():  # pages of 32,768 slots count from one
-        on[32_768 * (page - 1) : 32_768 * page] = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
-    return on[:slots]
+        on[4096 * (page - 1) : 4096 * page] = np.frombuffer(bytes(bits), np.uint8)
+    return on
+
+
+def _named(dealt: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``lang, phrase, n_words, a`` for ``key, a``, and the words of each language.
+
+    A frequent phrase is almost surely in a sixteenth of the documents, so few are left to look for in the others; every
+    document is read once.
+    """
+    spark, found, totals, left = dealt.sparkSession, [], [], pairs
+    part = F.pmod(F.shiftright(F.xxhash64("text"), 8), F.lit(16))
+    for low, high in TURNS:
+        table = spark.sparkContext.broadcast(_bits(left.select(F.col("key").bitwiseAND(WANTED - 1).alias("slot")), WANTED))
+        some = dealt.where((part >= low) & (part < high)).select("lang", "text")
+        names = some.mapInArrow(_namer(table), "key long, lang string, phrase string, n_words int, total long")
+        names = checkpoint(names.groupBy("key", "lang", "phrase", "n_words").agg(F.sum("total").alias("total")))
+        totals.append(names.where("key IS NULL").select("lang", "total"))
+        named = checkpoint(left.join(names.where("key IS NOT NULL").drop("total"), "key", "left"))
+        found.append(named.where("phrase IS NOT NULL").select("lang", "phrase", "n_words", "a"))
+        left = named.where("phrase IS NULL").select("key", "a")
+    every, words = found[0], totals[0]
+    for more, other in zip(found[1:], totals[1:], strict=True):
+        every, words = every.unionAll(more), words.unionAll(other)
+    return checkpoint(every), checkpoint(words.groupBy("lang").agg(F.sum("total").alias("n")))
 
 
 def frequent_phrases(documents: DataFrame, threshold: int = 100, shards: int = 3, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
@@ -258,7 +282,7 @@ def frequent_phrases(documents: DataFrame, threshold: int = 100, shards: int = 3
     spark = documents.sparkSession
     path = scratch_path(spark, "shards")
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(path)
+    texts.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int")).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
 
     ranges = RANGES * worker_partitions(spark)
@@ -274,18 +298,13 @@ def frequent_phrases(documents: DataFrame, threshold: int = 100, shards: int = 3
         state = checkpoint(by_range.mapInArrow(_merger(scan, shards, threshold, slots), "frequent boolean, range int, packed binary, reached array<int>"))
         done.append(state.where("frequent").select("packed"))
         started = started.copy()
-        started[_reached(state, slots) & (started == NEVER)] = scan
+        reached = np.unpackbits(_bits(state.select(F.explode("reached").alias("slot")), slots), bitorder="little")[:slots]
+        started[reached.astype(bool) & (started == NEVER)] = scan
         scan += 1
     found = done[0]
     for more in done[1:]:
         found = found.unionAll(more)
-    pairs = found.mapInArrow(_pairs, "key long, a long")
-    table = spark.sparkContext.broadcast(started)
-    names = dealt.select("lang", "text").mapInArrow(_namer(table), "key long, lang string, phrase string, n_words int, total long")
-    names = checkpoint(names.groupBy("key", "lang", "phrase", "n_words").agg(F.sum("total").alias("total")))
-    words = names.where("key IS NULL").select("lang", F.col("total").alias("n"))
-    frequent = names.where("key IS NOT NULL").join(pairs, "key").select("lang", "phrase", "n_words", "a")
-    return checkpoint(frequent), words
+    return _named(dealt, checkpoint(found.mapInArrow(_pairs, "key long, a long")))
 
 
 def collocations(documents: DataFrame, threshold: int = 100, top: int = 2_000, covered: int = 100, shards: int = 3, slots: int = SLOTS) -> DataFrame:
