@@ -68,6 +68,7 @@ def _named(attributes: str) -> tuple[str, bool]:
 def parse(page: str) -> Node:
     """A tree of elements and texts from tags in order; open paragraphs and items end where the rules say so."""
     root = here = Node("#root", None)
+    open_: dict[str, int] = {}
     at, n = 0, len(page)
     for_raw: dict[str, re.Pattern] = {}
     search = _TAG.search
@@ -83,22 +84,30 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            here = _close(here, tag)
+            if open_.get(tag):  # an end tag of nothing that is open is passed over at once
+                here = _left(here, _close(here, tag), open_)
             continue
-        here = _make_room(here, tag)
+        here = _left(here, _make_room(here, tag), open_)
         named, hidden = _named(m[3])
         node = Node(tag, here, named, hidden or tag in DROPPED or here.dropped)
         here.children.append(node)
         if tag in RAW:
             end = for_raw.setdefault(tag, re.compile(rf"</{tag}\s*[^>]*(?:>|$)", re.I)).search(page, at)
             at = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/"):
-            here = node
-        elif m[3].endswith("/") and tag not in VOID:
+        elif tag not in VOID:
             here = node  # a slash does not close an ordinary element
+            open_[tag] = open_.get(tag, 0) + 1
     return root
 
 
+def _left(here: Node, to: Node, open_: dict[str, int]) -> Node:
+    """Step out from ``here`` to its ancestor ``to``; the elements on the way are no longer open."""
+    while here is not to:
+        open_[here.tag] -= 1
+        here = here.parent
+    return to
+
+
 def _close(here: Node, tag: str) -> Node:
     node = here
     while node.parent is not None:
@@ -155,43 +164,49 @@ def link_density(node: Node) -> float:
     return node.link_chars / node.chars if node.chars else 0.0
 
 
-def _text_of(node: Node) -> str:
-    parts, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            parts.append(x)
-        elif not x.dropped:
-            parts.append(" ") if x.tag == "br" else None
-            stack += reversed(x.children)
-    return "".join(parts)
-
-
 _START = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "form": -3.0}
+_PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
 
 
 def _score(root: Node) -> list[Node]:
-    """Give every ancestor its points; returns the ancestors that have any, in page order."""
-    found: list[Node] = []
-    stack = [root]
+    """Give every ancestor its points; returns the ancestors that have any, in page order.
+
+    A paragraph passes its points to its parent whole, to the next ancestor by half, and by two thirds less from each
+    to the next. Lengths, commas and points are summed from the leaves up, so every node is visited once each way.
+    """
+    order, stack = [], [root]
     while stack:
         x = stack.pop()
-        if x.dropped:
-            continue
-        if x.tag in ("p", "pre", "td", "blockquote", "li", "dd", "h1", "h2", "h3", "h4", "h5", "h6") or (x.tag in ("div", "section") and any(isinstance(c, str) and not c.isspace() for c in x.children)):
-            text = clean(_text_of(x))
-            if text:
-                points = 1 + text.count(",") + text.count("、") + min(len(text) // 100, 3)
-                share, up = 1.0, x.parent
-                while up is not None and up.tag != "#root":
-                    if not up.scored:
-                        up.scored = True
-                        up.points += _START.get(up.tag, 0.0) + (25.0 if LIKELY.search(up.named) else 0.0)
-                        found.append(up)
-                    up.points += points * share
-                    share = share / 2 if share == 1.0 else share * 2 / 3
-                    up = up.parent
-        stack += [c for c in reversed(x.children) if not isinstance(c, str)]
+        if not x.dropped:
+            order.append(x)
+            stack += [c for c in reversed(x.children) if not isinstance(c, str)]
+    size: dict[int, tuple[int, int]] = {}
+    own: dict[int, float] = {}
+    passed: dict[int, tuple[float, float]] = {}
+    for x in reversed(order):
+        chars = commas = 0
+        near = far = 0.0
+        words = False
+        for c in x.children:
+            if isinstance(c, str):
+                text = clean(c)
+                words |= bool(text)
+                chars, commas = chars + len(text) + (c[:1].isspace() and bool(text)), commas + text.count(",") + text.count("、")
+            elif not c.dropped:
+                chars, commas = chars + size[id(c)][0], commas + size[id(c)][1]
+                below = passed[id(c)]
+                near, far = near + own[id(c)], far + below[0] / 2 + below[1] * 2 / 3
+        size[id(x)], passed[id(x)] = (chars, commas), (near, far)
+        block = chars > 0 and (x.tag in _PARAGRAPHS or (x.tag in ("div", "section") and words))
+        own[id(x)] = 1 + commas + min(chars // 100, 3) if block else 0.0
+    found: list[Node] = []
+    for x in order:
+        up = x.parent if own[id(x)] else None
+        while up is not None and up.tag != "#root" and not up.scored:
+            up.scored = True
+            up.points = sum(passed[id(up)]) + _START.get(up.tag, 0.0) + (25.0 if LIKELY.search(up.named) else 0.0)
+            found.append(up)
+            up = up.parent
     return found
 
 
@@ -225,12 +240,40 @@ def _blocks(node: Node, out: list[str]) -> None:
     flush()
 
 
+def _container(best: Node) -> Node:
+    """The article around the best node: the nearest article or main element, or else as far up as what stands beside it is text and not links."""
+    node = best
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    if node is not None:
+        return node
+    node = best
+    while node.parent is not None and node.parent.tag not in ("body", "html", "#root"):
+        up = node.parent
+        beside, links = up.chars - node.chars, up.link_chars - node.link_chars
+        if links > 0.25 * beside:
+            break
+        node = up
+    return node
+
+
+def _drop_links(container: Node, best: Node) -> None:
+    """Drop the blocks of links that stand beside the best node on its way up to the container."""
+    node = best
+    while node is not container:
+        for c in node.parent.children:
+            if not isinstance(c, str) and c is not node and c.tag not in INLINE and link_density(c) > 0.5:
+                c.dropped = True
+        node = node.parent
+
+
 def main_text(page: str) -> str:
-    """The best container and those of its siblings that also hold text, as blocks joined by line feeds.
+    """The article around the best node and those siblings of it that also hold text, as blocks joined by line feeds.
 
-    The container is the node with the most points after the discount for link density; ties go to the first in the
-    page. A sibling is kept if its own discounted points reach a fifth of the container's, or if it is a paragraph with
-    enough text and few links. A page without any paragraph gives the text of its body.
+    The best node has the most points after the discount for link density; ties go to the first in the page. All
+    text of the article around it stays but furniture and blocks of links. Outside an article or main element a sibling
+    is kept if its own discounted points reach a fifth of the best node's, or if it is text with few links. A page
+    without any paragraph gives the text of its body.
     """
     root = parse(page)
     _measure(root)
@@ -241,21 +284,36 @@ def main_text(page: str) -> str:
         return "\n".join(out)
     final = {id(x): x.points * (1 - link_density(x)) for x in found}
     best = max(found, key=lambda x: final[id(x)])
-    limit = max(10.0, final[id(best)] * 0.2)
+    whole = _container(best)
+    _drop_links(whole, best)
     out = []
-    around = best.parent.children if best.parent is not None and best.parent.tag not in ("html", "#root") else [best]
-    for x in around:
-        if isinstance(x, str) or x.dropped:
+    if whole.tag in ("article", "main") or whole.parent is None or whole.parent.tag in ("html", "#root"):
+        _blocks(whole, out)
+        return "\n".join(out)
+    limit = max(10.0, final[id(best)] * 0.2)
+    for x in whole.parent.children:
+        if isinstance(x, str):
+            if text := clean(x):
+                out.append(text)
+            continue
+        if x.dropped:
             continue
         density = link_density(x)
-        good = x is best or final.get(id(x), 0.0) + (0.2 * final[id(best)] if x.named and x.named == best.named else 0.0) >= limit
-        if not good and x.tag in ("p", "h1", "h2", "pre", "blockquote") and best.tag not in ("article", "main"):
-            good = (x.chars > 80 and density < 0.25) or (x.tag == "h1" and density == 0 and x.chars > 0) or (0 < x.chars <= 80 and density == 0 and clean(_text_of(x)).endswith((".", "!", "?")))
+        good = x is whole or final.get(id(x), 0.0) + (0.2 * final[id(best)] if x.named and x.named == whole.named else 0.0) >= limit
+        if not good and x.tag in ("p", "h1", "h2", "h3", "pre", "blockquote", "ul", "ol", "dl", "table", "section", "div"):
+            short = _text_end(x) if 0 < x.chars <= 80 and density == 0 else ""
+            good = (x.chars > 80 and density < 0.25) or (x.tag in ("h1", "h2", "h3") and density == 0 and x.chars > 0) or short.endswith((".", "!", "?"))
         if good:
             _blocks(x, out)
     return "\n".join(out)
 
 
+def _text_end(node: Node) -> str:
+    out: list[str] = []
+    _blocks(node, out)
+    return out[-1] if out else ""
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page; no shuffle, one page at a time.
 
