@@ -110,10 +110,20 @@ def _scan(data: np.ndarray, offsets: np.ndarray) -> tuple[list[list[tuple[int, i
     row = np.searchsorted(offsets, a, "right") - 1
     points = np.concatenate([[0], np.cumsum(~CONTINUES[data])]) if len(a) else np.zeros(len(data) + 1, np.int64)
     pa_, pb_ = points[a] - points[offsets[row]], points[b] - points[offsets[row]]
-    touched = np.array([any(s < e2 and s2 < e for s, e, _ in base[r]) for r, s2, e2 in zip(row, pa_, pb_, strict=True)], bool)
+    touched = np.zeros(len(a), bool)
+    for r in {int(r) for r in row if base[r]}:
+        low, high = np.searchsorted(row, [r, r + 1])
+        starts, reach = _reaches(base[r])
+        before = np.searchsorted(starts, pb_[low:high])
+        touched[low:high] = (before > 0) & (reach[before - 1] > pa_[low:high])
     return base, row, a, b, np.stack([pa_, pb_]), touched
 
 
+def _reaches(spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of a row's spans, in order, and the furthest end up to each of them."""
+    return np.array([s for s, _, _ in spans]), np.maximum.accumulate([e for _, e, _ in spans])
+
+
 @dataclass
 class Network:
     """Byte embedding, one convolution, greatest value over all places, a hidden layer, a logistic output; all in numpy."""
@@ -242,10 +252,13 @@ def network_spans(network: Network | None, data: np.ndarray, offsets: np.ndarray
     base, row, a, b, points, touched = scanned
     if network is None or not len(a):
         return
-    parts = []
+    parts, known = [], (-1, None, None)
     for k in np.flatnonzero(touched):
         at, end = (int(x) for x in points[:, k])
-        for s, e, _ in [*base[row[k]], (end, end, 0)]:
+        if known[0] != row[k]:
+            known = (row[k], *_reaches(base[row[k]]))
+        first, last = np.searchsorted(known[2], at, "right"), np.searchsorted(known[1], end)
+        for s, e, _ in [*base[row[k]][first:last], (end, end, 0)]:
             if min(s, end) - at >= _LEAST_CANDIDATE:
                 parts.append((k, at - points[0, k], min(s, end) - points[0, k]))
             at = max(at, e)
