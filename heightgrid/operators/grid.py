@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.functions.crs import reproject_xy
-from heightgrid.functions.geometry import box_geom, edges_intersect, first_vertices, flat_edges
-from heightgrid.session import with_row, worker_partitions
+from heightgrid.operators.cover import cell_box, in_cell, polygon_cells, segment_meets_box
+from heightgrid.session import with_row
 
 
 def _col(c) -> Column:
@@ -117,23 +117,24 @@ def touched_blocks(layer: DataFrame, width: float, height: float, geom: str | No
         last = F.least(F.floor((F.col(hi) - F.col(origin)) / step), F.col(n) - 1)
         return F.sequence(F.least(first, last), last)
 
-    shape = ["_edges", "_first"] if geom else []
-    if geom:  # prepared once per member, not once per block it may touch
-        layer = layer.withColumns({"_edges": flat_edges(geom), "_first": first_vertices(geom)})
-    hit = with_row(layer.select(*shape, "xmin", "ymin", "xmax", "ymax"), b)
+    shape = ["lvl", "ix", "full", "ref", "edges"] if geom else []
+    members = polygon_cells(layer, geom, []).withColumns(cell_box()) if geom else layer
+    hit = with_row(members.select(*shape, "xmin", "ymin", "xmax", "ymax"), b)
     hit = hit.withColumn("bcol", F.explode(span("xmin", "xmax", "_x0", w, "_nx")))
-    if geom:  # one large area must not be tested block by block in one task
-        hit = hit.repartition(worker_partitions(layer.sparkSession), "bcol")
     hit = hit.withColumn("brow", F.explode(span("ymin", "ymax", "_y0", h, "_ny")))
+    if geom:
+        # the part of the block in the cell touches the polygon if an edge meets it, or else if any place of it is inside
+        low = {"x": F.greatest("xmin", F.col("_x0") + F.col("bcol") * w), "y": F.greatest("ymin", F.col("_y0") + F.col("brow") * h)}
+        high = {"x": F.least("xmax", F.col("_x0") + (F.col("bcol") + 1) * w), "y": F.least("ymax", F.col("_y0") + (F.col("brow") + 1) * h)}
+        edge = F.exists("edges", lambda e: segment_meets_box(e, low["x"], low["y"], high["x"], high["y"]))
+        real = (low["x"] <= high["x"]) & (low["y"] <= high["y"])
+        hit = hit.where(real & (edge | in_cell((low["x"] + high["x"]) / 2, (low["y"] + high["y"]) / 2)))
     hit = hit.select(
-        *shape, "bcol", "brow",
+        "bcol", "brow",
         (F.col("_x0") + F.col("bcol") * w).alias("xmin"), (F.col("_y0") + F.col("brow") * h).alias("ymin"),
         (F.col("_x0") + (F.col("bcol") + 1) * w).alias("xmax"), (F.col("_y0") + (F.col("brow") + 1) * h).alias("ymax"),
         "_nx", "_ny",
     )
-    if geom:
-        box = box_geom()
-        hit = hit.where(edges_intersect("_edges", "_first", flat_edges(box), first_vertices(box))).drop(*shape)
     return hit.distinct()
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heightgrid.operators.points import GROUND_CLASS
@@ -31,9 +31,9 @@ def _sliding(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
     return out
 
 
-def _opening(a: np.ndarray, r: int) -> np.ndarray:
-    """Opening with a square of 2r+1 cells; absent cells (inf) take no part."""
-    low = _sliding(_sliding(a, r, 0, np.minimum), r, 1, np.minimum)
+def _opening(a: np.ndarray, r: int, eroded: np.ndarray | None = None) -> np.ndarray:
+    """Opening with a square of 2r+1 cells; absent cells (inf) take no part. ``eroded``: the running minimum, where it is known."""
+    low = _sliding(_sliding(a, r, 0, np.minimum), r, 1, np.minimum) if eroded is None else eroded
     low = np.where(np.isinf(low), -np.inf, low)
     return _sliding(_sliding(low, r, 0, np.maximum), r, 1, np.maximum)
 
@@ -51,9 +51,10 @@ def _ground_surface(lowest: np.ndarray, steps: int, cell: float, slope: float, t
         base = np.where(outlier, np.inf, lowest)
         base = np.where(outlier, _opening(base, 1), base)
         base = np.where(np.isfinite(base), base, lowest)
-        last, is_object = base, np.zeros(base.shape, dtype=bool)
+        last, is_object, eroded = base, np.zeros(base.shape, dtype=bool), base
         for r in range(1, steps + 1):
-            opened = np.where(absent, np.inf, _opening(base, r))
+            eroded = _sliding(_sliding(eroded, 1, 0, np.minimum), 1, 1, np.minimum)  # one ring of cells more each time
+            opened = np.where(absent, np.inf, _opening(base, r, eroded))
             is_object |= (last - opened) > slope * r * cell
             last = opened
         dem = np.where(is_object, last, base)
@@ -74,22 +75,27 @@ def classify_ground(
     """Simple morphological ground filter (Pingel, Clarke and McBride 2013) with square windows; adds ``classification``.
 
     Points shrink map-side to one lowest height per cell. The grid is cut into windows of ``span`` x ``span`` cells,
-    each with a halo as wide as the filter reaches, so a task's array has a fixed size whatever the tile's extent and
-    the surface is the same for any ``span``. The points themselves meet the surface in an equi-join.
+    each with a halo as wide as the filter reaches, so a task's array is bounded whatever the tile's extent and
+    the surface is the same for any ``span``. An array is cut to the box of its cells and as many cells around it as the
+    widest opening looks; what lies beyond is absent either way. Windows without a cell of their own are left out. The
+    points themselves meet the surface in an equi-join.
     """
     gx, gy = F.floor(F.col("x") / cell).alias("_gx"), F.floor(F.col("y") / cell).alias("_gy")
     low = points.groupBy(key, gx, gy).agg(F.min("z").alias("low"))
     steps = int(np.ceil(window / cell))
     halo = _reach(steps)
-    side = span + 2 * halo
+    around = steps + 3
 
     def surface(pdf: pd.DataFrame) -> pd.DataFrame:
-        i = (pdf["_gx"] - pdf["_wx"] * span + halo).to_numpy()
-        j = (pdf["_gy"] - pdf["_wy"] * span + halo).to_numpy()
-        lowest = np.full((side, side), np.inf)
+        i = (pdf["_gx"] - pdf["_wx"] * span).to_numpy()
+        j = (pdf["_gy"] - pdf["_wy"] * span).to_numpy()
+        inner = (i >= 0) & (i < span) & (j >= 0) & (j < span)
+        if not inner.any():
+            return pdf.loc[inner, [key, "_gx", "_gy"]].assign(_dem=0.0, _limit=0.0)
+        i, j = i - i.min() + around, j - j.min() + around
+        lowest = np.full((i.max() + around + 1, j.max() + around + 1), np.inf)
         lowest[i, j] = pdf["low"]
         dem, limit = _ground_surface(lowest, steps, cell, slope, threshold, scalar)
-        inner = (i >= halo) & (i < halo + span) & (j >= halo) & (j < halo + span)
         i, j = i[inner], j[inner]
         return pdf.loc[inner, [key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
 
@@ -165,19 +171,67 @@ def _search_blocks(key: str):
     return run
 
 
+def _squares(blocks: DataFrame, key: str, width: int) -> DataFrame:
+    """Boxes of what lies in squares of ``width`` blocks: ``key, sx, sy, x1, y1, x2, y2``."""
+    at = [F.floor(F.col(c) / width).alias(n) for c, n in (("_bx", "sx"), ("_by", "sy"))]
+    return blocks.groupBy(key, *at).agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
+
+
+def _gap2(p: str, g: str) -> Column:
+    """Squared distance of two boxes."""
+    axis = lambda c: F.greatest(F.col(f"{g}{c}1") - F.col(f"{p}{c}2"), F.col(f"{p}{c}1") - F.col(f"{g}{c}2"), F.lit(0.0))
+    return axis("x") * axis("x") + axis("y") * axis("y")
+
+
+def _far2(p: str, g: str) -> Column:
+    """Squared distance within which every place of one box surely has a place of the other, each side of which holds one."""
+    axis = lambda c: F.greatest(F.col(f"{g}{c}2") - F.col(f"{p}{c}1"), F.col(f"{p}{c}2") - F.col(f"{g}{c}1"))
+    return axis("x") * axis("x") + axis("y") * axis("y")
+
+
+def block_pairs(places: DataFrame, ground: DataFrame, key: str) -> DataFrame:
+    """``key, _bx, _by, gx, gy, gx1, gy1, gx2, gy2``: for each block of places the blocks of ground that may hold a nearest one.
+
+    Both sides are trees of squares, each twice as wide as the ones below. From the top, a square of places meets the squares of
+    ground that lie no further away than the best of them surely is; only those are opened. So how far ground is does not
+    matter, only how many blocks are about equally near.
+    """
+    box = lambda df: df.groupBy(key, "_bx", "_by").agg(
+        F.min("x").alias("x1"), F.min("y").alias("y1"), F.max("x").alias("x2"), F.max("y").alias("y2")
+    )
+    p, g = checkpoint(box(places)), checkpoint(box(ground))
+    lows, highs = [F.min(c).alias(f"_0{c}") for c in ("_bx", "_by")], [F.max(c).alias(f"_1{c}") for c in ("_bx", "_by")]
+    reach = checkpoint(p.select(key, "_bx", "_by").unionAll(g.select(key, "_bx", "_by")).groupBy(key).agg(*lows, *highs))
+    widest = reach.agg(F.max(F.greatest(F.col("_1_bx") - F.col("_0_bx"), F.col("_1_by") - F.col("_0_by")))).first()[0] or 0
+    from_corner = lambda df: df.join(reach, key).withColumns({c: F.col(c) - F.col(f"_0{c}") for c in ("_bx", "_by")})
+    p, g = from_corner(p), from_corner(g)
+    alive = None
+    for level in range(int(widest).bit_length(), -1, -1):
+        own = _squares(p, key, 1 << level).withColumnsRenamed({c: f"p{c}" for c in ("x1", "y1", "x2", "y2")}).withColumnsRenamed({"sx": "px", "sy": "py"})
+        other = _squares(g, key, 1 << level).withColumnsRenamed({c: f"g{c}" for c in ("x1", "y1", "x2", "y2")}).withColumnsRenamed({"sx": "gx", "sy": "gy"})
+        if alive is None:  # at the top a tile is one square
+            met = own.join(other, key)
+        else:
+            up = lambda df, s: df.withColumns({f"_{s}x": F.floor(F.col(f"{s}x") / 2), f"_{s}y": F.floor(F.col(f"{s}y") / 2)})
+            met = up(own, "p").join(alive, [key, "_px", "_py"]).join(up(other, "g"), [key, "_gx", "_gy"])
+        square = Window.partitionBy(key, "px", "py")
+        met = met.withColumn("_near", _gap2("p", "g")).withColumn("_sure", F.min(_far2("p", "g")).over(square)).where(F.col("_near") <= F.col("_sure"))
+        if level:
+            alive = checkpoint(met.select(key, *[F.col(c).alias(f"_{c}") for c in ("px", "py", "gx", "gy")]))
+    index = {n: F.col(c) + F.col(f"_0{b}") for n, c, b in (("_bx", "px", "_bx"), ("_by", "py", "_by"), ("gx", "gx", "_bx"), ("gy", "gy", "_by"))}
+    return met.join(reach, key).withColumns(index).select(key, "_bx", "_by", "gx", "gy", "gx1", "gy1", "gx2", "gy2")
+
+
 def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", block: float = 25.0) -> DataFrame:
     """``(key, x, y, d2, gz)``: squared distance and height of the nearest ground point of the same tile.
 
     ``key`` is numeric. Both sides hold each place once, so a block of ``block`` metres has a bounded number of places
     (stored coordinates are multiples of a fixed step). First every place looks inside its own block, which bounds its
-    distance. A place whose bound reaches over the block border then looks into the blocks within that bound, and
-    nowhere else. Places in blocks without ground take their bound from the nearest blocks that have some.
+    distance. Which other blocks may hold something nearer is found block by block; a place is handed over to those
+    of them only that lie within its own bound.
     """
     bx, by = F.floor(F.col("x") / block), F.floor(F.col("y") / block)
     g = checkpoint(ground.select(key, "x", "y", "z").withColumns({"_bx": bx, "_by": by}))
-    occupied = g.groupBy(key, "_bx", "_by").agg(
-        F.min("x").alias("_x1"), F.min("y").alias("_y1"), F.max("x").alias("_x2"), F.max("y").alias("_y2")
-    )
     schema = f"{key} {dict(places.dtypes)[key]}, x double, y double, d2 double, gz double"
 
     def search(queries: DataFrame) -> DataFrame:
@@ -185,24 +239,14 @@ def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", b
         parts = both.repartition(worker_partitions(places.sparkSession), key, "_bx", "_by").sortWithinPartitions(key, "_bx", "_by")
         return parts.mapInPandas(_search_blocks(key), schema)
 
-    q = places.select(key, "x", "y").withColumns({"_bx": bx, "_by": by})
+    q = checkpoint(places.select(key, "x", "y").withColumns({"_bx": bx, "_by": by}))
     first = checkpoint(search(q))
-    homeless = q.join(occupied.select(key, "_bx", "_by"), [key, "_bx", "_by"], "left_anti").select(key, "x", "y")
-    bounds = first.select(key, "x", "y", "d2").unionByName(_upper_bounds(homeless, occupied, key, block))
-
-    reach = F.sqrt("d2")
-    axis = lambda c: F.explode(
-        F.sequence(F.floor((F.col(c) - reach) / block), F.floor((F.col(c) + reach) / block))
-    )
-    gap = lambda c, lo, hi: F.greatest(F.col(lo) - F.col(c), F.col(c) - F.col(hi), F.lit(0.0))
-    more = (
-        bounds.withColumn("_bx", axis("x"))
-        .withColumn("_by", axis("y"))
-        .where((F.col("_bx") != bx) | (F.col("_by") != by))
-        .join(occupied, [key, "_bx", "_by"])
-        .where(F.pow(gap("x", "_x1", "_x2"), F.lit(2.0)) + F.pow(gap("y", "_y1", "_y2"), F.lit(2.0)) <= F.col("d2"))
-        .select(key, "x", "y", "_bx", "_by")
-    )
+    met = q.join(first.select(key, "x", "y", "d2"), [key, "x", "y"], "left").join(block_pairs(q, g, key), [key, "_bx", "_by"])
+    met = met.withColumns({"px1": F.col("x"), "py1": F.col("y"), "px2": F.col("x"), "py2": F.col("y")})
+    sure = F.least(F.col("d2"), F.min(_far2("p", "g")).over(Window.partitionBy(key, "x", "y")))
+    other = (F.col("_bx") != F.col("gx")) | (F.col("_by") != F.col("gy"))
+    more = met.withColumn("_sure", sure).where(other & (_gap2("p", "g") <= F.col("_sure")))
+    more = more.select(key, "x", "y", F.col("gx").alias("_bx"), F.col("gy").alias("_by"))
     return (
         first.unionByName(search(more))
         .groupBy(key, "x", "y")
@@ -211,34 +255,6 @@ def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", b
     )
 
 
-def _upper_bounds(homeless: DataFrame, occupied: DataFrame, key: str, block: float) -> DataFrame:
-    """A squared distance within which each place surely finds ground, from ever wider squares of occupied blocks."""
-    todo = checkpoint(homeless.join(occupied.select(key).distinct(), key, "left_semi"))
-    found = todo.select(key, "x", "y", F.lit(0.0).alias("d2")).where(F.lit(False))
-    far = lambda c, lo, hi: F.greatest(F.abs(F.col(c) - F.col(lo)), F.abs(F.col(c) - F.col(hi)))
-    width = 3.0
-    while not todo.isEmpty():
-        # coarse squares of ``width`` blocks: look in the own square and the eight around it
-        step = block * width
-        coarse = (
-            occupied.withColumns({"_gx": F.floor(F.col("_bx") / width), "_gy": F.floor(F.col("_by") / width)})
-            .groupBy(key, "_gx", "_gy")
-            .agg(F.min("_x1").alias("_x1"), F.min("_y1").alias("_y1"), F.max("_x2").alias("_x2"), F.max("_y2").alias("_y2"))
-        )
-        near = (
-            todo.withColumn("_gx", F.explode(F.sequence(F.floor(F.col("x") / step) - 1, F.floor(F.col("x") / step) + 1)))
-            .withColumn("_gy", F.explode(F.sequence(F.floor(F.col("y") / step) - 1, F.floor(F.col("y") / step) + 1)))
-            .join(coarse, [key, "_gx", "_gy"])
-            .groupBy(key, "x", "y")
-            .agg(F.min(F.pow(far("x", "_x1", "_x2"), F.lit(2.0)) + F.pow(far("y", "_y1", "_y2"), F.lit(2.0))).alias("d2"))
-        )
-        near = checkpoint(near)
-        found = found.unionByName(near)
-        todo = checkpoint(todo.join(near, [key, "x", "y"], "left_anti"))
-        width *= 3
-    return found
-
-
 def height_above_ground(points: DataFrame, key: str = "tile_id", block: float = 25.0, out: str = "hag") -> DataFrame:
     """z minus z of the nearest ground point in the tile; null in a tile without ground."""
     ground = points.where(F.col("classification") == GROUND_CLASS).groupBy(key, "x", "y").agg(F.min("z").alias("z"))

@@ -12,17 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.functions.geometry import edges_contain, edges_intersect, first_vertices, flat_edges
-from heightgrid.session import with_row, worker_partitions
-
-BOX = ("xmin", "ymin", "xmax", "ymax")
-_POINT_LEVEL = -10  # buckets of a millimetre: below any extent that matters
-
-
-def extent_level(xmin, ymin, xmax, ymax) -> Column:
-    """Smallest power of two that is no smaller than the longer side."""
-    side = F.greatest(F.col(xmax) - F.col(xmin), F.col(ymax) - F.col(ymin))
-    return F.when(side <= 2.0**_POINT_LEVEL, F.lit(_POINT_LEVEL)).otherwise(F.ceil(F.log2(side))).cast("int")
+from heightgrid.functions.geometry import edges_intersect, first_vertices, flat_edges
+from heightgrid.operators.cover import BOX, cell_box, extent_level, in_cell, in_laid_out, laid_out, polygon_cells, size_of
+from heightgrid.session import checkpoint, with_row, worker_partitions
 
 
 def _keyed(df: DataFrame, box, own: Column, other_levels: DataFrame, tag: str) -> DataFrame:
@@ -112,13 +104,20 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str =
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, geom: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Inner join of points to the polygons that hold them; points outside all polygons drop."""
-    tall = polygons.withColumns(
-        # the box test is half-open: lift the upper limits a little and let ray casting decide
-        {"xmax": F.col("xmax") + 1e-6, "ymax": F.col("ymax") + 1e-6, "_edges": flat_edges(geom)}
-    )
-    inside = points_in_boxes(points, tall, x, y).where(edges_contain("_edges", x, y))
-    return inside.drop("_edges", *[f"{c}_r" for c in BOX])
+    """Inner join of points to the polygons that hold them; points outside all polygons drop.
+
+    Polygons meet points as cells of a cover, so the points of one large polygon have as many keys as it has cells, and
+    a candidate carries the edges of one cell at most, none in the interior.
+    """
+    keep = [c for c in polygons.columns if c not in (geom, *BOX)]
+    cells = checkpoint(polygon_cells(polygons, geom, keep))
+    levels = cells.agg(F.collect_set("lvl").alias("_levels"))
+    keyed = with_row(points, levels).withColumn("lvl", F.explode("_levels")).drop("_levels")
+    keyed = keyed.withColumns({"ix": F.floor(F.col(x) / size_of()), "iy": F.floor(F.col(y) / size_of())})
+    usual = keyed.join(laid_out(cells), ["lvl", "ix", "iy"]).where(in_laid_out(x, y))
+    crowded = keyed.join(cells.where(F.size("edges") > 2), ["lvl", "ix", "iy"]).where(in_cell(x, y))
+    columns = [*points.columns, *keep]
+    return usual.select(*columns).unionAll(crowded.select(*columns))
 
 
 def grid_index(x: Column, origin: Column, step: float) -> Column:
@@ -207,14 +206,17 @@ def cells_minus_boxes(tiles: DataFrame, water: DataFrame, key: str, res: float =
 
 
 def cells_minus_polygons(tiles: DataFrame, water: DataFrame, key: str, geom: str, res: float = 10.0) -> DataFrame:
-    """As ``cells_minus_boxes`` for any polygons: a cell is wet when its centre lies in a polygon."""
-    shapes = water.select(flat_edges(geom).alias("_edges"), *BOX)
+    """As ``cells_minus_boxes`` for any polygons: a cell is wet when its centre lies in a polygon.
+
+    A polygon meets the tiles as cells of a cover, each with its own few edges.
+    """
+    shapes = polygon_cells(water, geom, []).withColumns(cell_box())
     common = bucket_pairs(tiles.select(key, *BOX), shapes, open_edges=True).select(
-        key, "_edges",
+        key, "lvl", "ix", "full", "ref", "edges",
         F.greatest("xmin_l", "xmin_r").alias("xmin"), F.greatest("ymin_l", "ymin_r").alias("ymin"),
         F.least("xmax_l", "xmax_r").alias("xmax"), F.least("ymax_l", "ymax_r").alias("ymax"),
     )
-    wet = box_cells(common, res).where(edges_contain("_edges", (F.col("cx") + 0.5) * res, (F.col("cy") + 0.5) * res))
+    wet = box_cells(common, res).where(in_cell((F.col("cx") + 0.5) * res, (F.col("cy") + 0.5) * res))
     return (
         box_cells(tiles.select(key, *BOX), res)
         .select(key, "cx", "cy")
