@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -23,9 +24,9 @@ from heightgrid.session import checkpoint, worker_partitions
 #: Bytes of context.
 DEPTH = 5
 #: Byte strings a task gathers before it passes them on, and the text worked on at a time.
-MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 20, 32_000_000, 2_000_000
-#: Rows a task passes on at a time.
-SENT = 20_000
+MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 20, 32_000_000, 1_000_000
+#: Rows a task passes on at a time, and keys whose nodes it makes together.
+SENT, GROUPED = 20_000, 60_000
 END = 0xFF
 WORD, GRAM, TEXT = range(3)
 #: Bits below the last two bytes of context.
@@ -190,26 +191,64 @@ def long_nodes(keys: np.ndarray, counts: np.ndarray) -> tuple[list[Nodes], tuple
     raise AssertionError
 
 
-def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by the first of them, a key, in pieces that hold whole groups of the last two bytes of context."""
-    held: list[np.ndarray] = []
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ordered keys as steps from one to the next, byte by byte, compressed."""
+    return _packed(np.diff(keys, prepend=0))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers.astype(np.int64)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T.copy().view(kind).reshape(-1)
+
+
+def near_rows(keys: np.ndarray, counts: np.ndarray) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Ordered keys and their counts, one packed row for each last two bytes of context."""
+    near = keys >> _NEAR
+    at = np.concatenate([[0], np.flatnonzero(near[1:] != near[:-1]) + 1, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
+    pieces = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+    return near[at[:-1]].tolist() if len(keys) else [], [packed_keys(keys[i:j]) for i, j in pieces], [_packed(counts[i:j]) for i, j in pieces]
+
+
+def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple]]]:
+    """Keys and counts of packed rows sorted by the last two bytes of context, in pieces that hold whole groups of them; and the rows."""
+    held: list[tuple] = []
+    keys: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
     for batch in batches:
-        now = [c.to_numpy() for c in batch.columns]
-        held = [np.concatenate(x) for x in zip(held, now, strict=True)] if held else now
-        cut = int(np.searchsorted(held[0], (held[0][-1] >> _NEAR) << _NEAR)) if len(held[0]) else 0
-        if cut > 200_000:
-            yield [x[:cut] for x in held]
-            held = [x[cut:] for x in held]
-    if held and len(held[0]):
-        yield held
+        columns = (batch.column(c).to_pylist() for c in ("batch", "key", "packed", "counts"))
+        for number, near, packed, n in zip(*columns, strict=True):
+            if held and near != held[-1][1] and sum(map(len, keys)) > GROUPED:
+                yield np.concatenate(keys), np.concatenate(counts), held
+                held, keys, counts = [], [], []
+            keys.append(unpacked_keys(packed))
+            counts.append(_unpacked(n))
+            held.append((number, near, packed))
+    if held:
+        yield np.concatenate(keys), np.concatenate(counts), held
 
 
 def _by_near(grams: DataFrame) -> DataFrame:
-    return grams.repartition(worker_partitions(grams.sparkSession), F.shiftright("key", _NEAR)).sortWithinPartitions("key")
+    return grams.select("batch", "key", "packed", "counts").repartition(worker_partitions(grams.sparkSession), "key").sortWithinPartitions("key")
+
+
+def _short(code: np.ndarray, zeros: np.ndarray, ones: np.ndarray, rest: np.ndarray) -> list[Nodes]:
+    """Nodes of none and one byte of context; ``rest`` sums over the longer contexts of each of the latter."""
+    total, own = weighted(code, zeros, ones, rest)
+    one_byte = (code, (ones + 0.5) / (zeros + ones + 1), own)
+    root, at = np.unique(code & 0xFF, return_inverse=True)
+    z, o, b = (np.bincount(at, weights=x, minlength=len(root)) for x in (zeros, ones, total))
+    return [(root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1]), one_byte]
 
 
 def short_nodes(grams: DataFrame) -> list[Nodes]:
-    """Nodes of none and one byte of context from ``key, n`` of the training text, keys in any number of rows.
+    """Nodes of none and one byte of context from packed rows of training counts (zeros for what only other texts hold).
 
     Contexts with the same last two bytes meet in one task, and their sums make the shorter ones. What reaches the driver
     is at most 65,536 nodes.
@@ -217,46 +256,44 @@ def short_nodes(grams: DataFrame) -> list[Nodes]:
     schema = pa.schema([("code", pa.int64()), ("zeros", pa.int64()), ("ones", pa.int64()), ("below", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _near_groups(batches):
-            yield batch_of(dict(zip(schema.names, long_nodes(*_counted(keys, n))[1], strict=True)), schema)
+        for keys, n, _ in _near_groups(batches):
+            distinct, counts = _counted(keys, n)
+            if (counts > 0).any():
+                yield batch_of(dict(zip(schema.names, long_nodes(distinct[counts > 0], counts[counts > 0])[1], strict=True)), schema)
 
-    made = _by_near(grams.select("key", "n")).mapInArrow(run, "code long, zeros long, ones long, below double")
+    made = _by_near(grams).mapInArrow(run, "code long, zeros long, ones long, below double")
     first = made.groupBy("code").agg(*[F.sum(c).alias(c) for c in schema.names[1:]]).toArrow().sort_by("code")
-    code, zeros, ones, rest = (first.column(c).to_numpy() for c in schema.names)
-    total, own = weighted(code, zeros, ones, rest)
-    one_byte = (code, (ones + 0.5) / (zeros + ones + 1), own)
-    root, at = np.unique(code & 0xFF, return_inverse=True)
-    z, o, b = (np.bincount(at, weights=x, minlength=len(root)) for x in (zeros, ones, total))
-    return [(root, (o + 0.5) / (z + o + 1), weighted(root, z, o, b)[1]), one_byte]
+    return _short(*(first.column(c).to_numpy() for c in schema.names))
 
 
 def fit(texts: DataFrame) -> Model:
     """The model of a small table of training texts with all its nodes in one place; ``score`` never gathers them."""
-    grams = checkpoint(gram_counts(texts))
-    every = grams.toArrow()
-    return Model([*short_nodes(grams), *long_nodes(*_counted(every.column("key").to_numpy(), every.column("n").to_numpy()))[0]])
+    every = gram_counts(texts).toArrow()
+    long, rest = long_nodes(*_counted(every.column("key").to_numpy(), every.column("n").to_numpy()))
+    return Model([*_short(*rest), *long])
 
 
 def gram_scores(grams: DataFrame) -> DataFrame:
-    """``batch, key, value``: log10 probability of each row's key; ``n`` counts it in the training text of its batch.
+    """``batch, key, packed, scores``: log10 probability of each key in a packed row, given the counts of all rows.
 
     Every node is used. Those of two and more bytes are made where their contexts meet, once for the sums of the shorter
     ones and once for the values, and are never stored: a task holds those of some groups of two bytes of context.
     """
-    short = grams.sparkSession.sparkContext.broadcast(short_nodes(grams.where("n > 0")))
-    schema = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("value", pa.float64())])
+    short = grams.sparkSession.sparkContext.broadcast(short_nodes(grams))
+    schema = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("packed", pa.binary()), ("scores", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n, batch in _near_groups(batches):
+        for keys, n, rows in _near_groups(batches):
             distinct, counts = _counted(keys, n)
             seen = counts > 0
             model = Model([*short.value, *long_nodes(distinct[seen], counts[seen])[0]])
-            value = np.concatenate([model.log10(distinct[i : i + 50_000]) for i in range(0, len(distinct), 50_000)])
-            value = value[np.searchsorted(distinct, keys)]
-            for i in range(0, len(keys), SENT):
-                yield batch_of({"batch": batch[i : i + SENT], "key": keys[i : i + SENT], "value": value[i : i + SENT]}, schema)
+            value = np.concatenate([model.log10(distinct[i : i + 20_000]) for i in range(0, len(distinct), 20_000)])
+            for i in range(0, len(rows), 256):
+                some = rows[i : i + 256]
+                scores = [_packed(value[np.searchsorted(distinct, unpacked_keys(packed))].view(np.int64)) for _, _, packed in some]
+                yield batch_of({"batch": [r[0] for r in some], "key": [r[1] for r in some], "packed": [r[2] for r in some], "scores": scores}, schema)
 
-    return _by_near(grams.select("key", "n", "batch")).mapInArrow(run, "batch long, key long, value double")
+    return _by_near(grams).mapInArrow(run, "batch long, key long, packed binary, scores binary")
 
 
 class Lookup:
@@ -306,11 +343,16 @@ def score(docs: DataFrame) -> DataFrame:
     an empty one; further columns are not read.
     """
     texts = plain_documents(docs, is_held_out().alias("held_out"))
-    names = ("batch", "kind", "key", "n", "doc_ids", "held_out", "sizes", "packed")
+    names = ("batch", "kind", "key", "n", "doc_ids", "held_out", "sizes", "packed", "counts")
     longs = pa.list_(pa.int64())
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary(), pa.binary())
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
+    def filled(number: int, kind: int, some: dict) -> Iterator[pa.RecordBatch]:
+        m = len(some["key"])
+        nothing = {x: pa.nulls(m, schema.field(x).type) for x in names if x not in some}
+        yield batch_of({**nothing, "batch": np.full(m, number), "kind": np.full(m, kind, np.int32), **some}, schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
@@ -328,16 +370,16 @@ def score(docs: DataFrame) -> DataFrame:
                     starts, ends, first = find_words(part, own)
                     found[WORD].add(span_hashes(part, starts, ends, lower=True).view(np.int64), np.repeat(held[i:j], np.diff(first)))
                     text = {"doc_ids": [batch.column(0).slice(i, j - i).to_pylist()], "held_out": [held[i:j]], "sizes": [np.diff(own)], "packed": [packer.compress(part.tobytes())]}
-                    yield batch_of({"batch": [number], "kind": [TEXT], "key": [None], "n": [None], **text}, schema)
-                for kind, c in found.items():
-                    for i in range(0, len(c.keys), SENT):
-                        keys, counts = c.keys[i : i + SENT], c.counts[i : i + SENT]
-                        m = len(keys)
-                        nothing = {x: pa.nulls(m, schema.field(x).type) for x in names[4:]}
-                        yield batch_of({"batch": np.full(m, number), "kind": np.full(m, kind, np.int32), "key": keys, "n": counts, **nothing}, schema)
+                    yield batch_of({"batch": [number], "kind": [TEXT], "key": [None], "n": [None], **text, "counts": [None]}, schema)
+                words = found[WORD]
+                for i in range(0, len(words.keys), SENT):
+                    yield from filled(number, WORD, {"key": words.keys[i : i + SENT], "n": words.counts[i : i + SENT]})
+                near, keys, counts = near_rows(found[GRAM].keys, found[GRAM].counts)
+                for i in range(0, len(near), 256):
+                    yield from filled(number, GRAM, {"key": near[i : i + 256], "packed": keys[i : i + 256], "counts": counts[i : i + 256]})
                 number += 1
 
-    coded = checkpoint(texts.mapInArrow(run, "batch long, kind int, key long, n long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, packed binary"))
+    coded = checkpoint(texts.mapInArrow(run, "batch long, kind int, key long, n long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, packed binary, counts binary"))
     # a word has one row per batch, so its rows are few; they are summed where they meet and keep their batch
     same = Window.partitionBy("key")
     known = coded.where(F.col("kind") == WORD).select(
@@ -356,8 +398,11 @@ def score(docs: DataFrame) -> DataFrame:
     )
 
     def look_up(rows: pa.Table, values: pa.Table) -> pa.Table:
-        kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-        words, strings = (Lookup(key[kind == k], value[kind == k]) for k in (WORD, GRAM))
+        word = values.filter(pc.equal(values.column("kind"), WORD))
+        words = Lookup(word.column("key").to_numpy(), word.column("value").to_numpy())
+        gram = values.filter(pc.equal(values.column("kind"), GRAM))
+        keys, scores = ([f(x.as_py()) for x in gram.column(c)] for c, f in (("packed", unpacked_keys), ("scores", lambda x: _unpacked(x, np.float64))))
+        strings = Lookup(np.concatenate(keys), np.concatenate(scores))
         unpacker, made = zstandard.ZstdDecompressor(), []
         for ids, held, sizes, packed in zip(*(rows.column(c) for c in ("doc_ids", "held_out", "sizes", "packed")), strict=True):
             offsets = np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
@@ -374,7 +419,9 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.Table.from_batches(made, result)
 
     rows = coded.where(F.col("kind") == TEXT).select("batch", "doc_ids", "held_out", "sizes", "packed")
-    scored = gram_scores(coded.where(F.col("kind") == GRAM).select("batch", "key", "n")).select("batch", F.lit(GRAM).alias("kind"), "key", "value")
-    values = coming.select("batch", F.lit(WORD).alias("kind"), "key", F.col("c").cast("double").alias("value")).unionByName(scored)
+    none = F.lit(None).cast("binary")
+    scored = gram_scores(coded.where(F.col("kind") == GRAM)).select("batch", F.lit(GRAM).alias("kind"), "key", F.lit(None).cast("double").alias("value"), "packed", "scores")
+    counted = coming.select("batch", F.lit(WORD).alias("kind"), "key", F.col("c").cast("double").alias("value"), none.alias("packed"), none.alias("scores"))
+    values = counted.unionByName(scored)
     types = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return rows.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(look_up, types)
