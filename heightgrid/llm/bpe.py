@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from heightgrid.llm.text import CONTINUES, batch_of, chunks, plain_documents, text_bytes
+from heightgrid.llm.text import CONTINUES, batch_of, chunks, plain_documents, text_bytes, tidy
 
 #: Text worked on at a time; a longer text stands alone.
 TEXT_BYTES = 8_000_000
@@ -295,7 +295,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(ids, pa.int32()))
                 yield batch_of({"doc_id": batch.column(0).slice(a, n), "n_tokens": np.diff(to), "ids": lists}, schema)
 
-    return plain_documents(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return plain_documents(docs).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -307,7 +307,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             yield batch_of({"doc_id": batch.column(0), "text": [decode(x or [], merges) for x in batch.column(1).to_pylist()]}, schema)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -330,4 +330,4 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                     second.append(hashlib.sha256(decode(own, merges).encode()).hexdigest())
                 yield batch_of({"doc_id": batch.column(0).slice(a, n), "n_tokens": np.diff(to), "ids_sha256": first, "decoded_sha256": second}, schema)
 
-    return plain_documents(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return plain_documents(docs).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

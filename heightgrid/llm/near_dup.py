@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.llm.text import U, batch_of, chunks, find_words, mix, plain_documents, rolled, span_hashes, text_bytes
+from heightgrid.llm.text import U, batch_of, chunks, find_words, mix, plain_documents, rolled, span_hashes, text_bytes, tidy
 from heightgrid.operators.zones import smallest_labels
 from heightgrid.session import checkpoint, worker_partitions
 
@@ -86,7 +86,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                         out[name].append(v)
                 yield batch_of(out | {"doc_id": batch.column(0).slice(at, len(sets))}, schema)
 
-    return plain_documents(docs).mapInArrow(run, f"doc_id long, {_SIGNED}")
+    return plain_documents(docs).mapInArrow(tidy(run), f"doc_id long, {_SIGNED}")
 
 
 def _shingle_sets(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -133,7 +133,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], schema=schema)
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(tidy(run), "a long, b long")
 
 
 def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -219,7 +219,7 @@ def _across(members: DataFrame, limit: int, percent: int) -> DataFrame:
                 a, b = zip(*links, strict=True)
                 yield batch_of({"a": a, "b": b}, schema)
 
-    return spread_out.mapInArrow(run, "a long, b long")
+    return spread_out.mapInArrow(tidy(run), "a long, b long")
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:

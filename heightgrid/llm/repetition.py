@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from heightgrid.llm.text import CONTINUES, batch_of, chunks, find_words, plain_documents, rolled, span_hashes, text_bytes
+from heightgrid.llm.text import CONTINUES, batch_of, chunks, find_words, plain_documents, rolled, span_hashes, text_bytes, tidy
 
 #: The published limits for the share of characters inside n-grams and lines seen earlier in the text.
 NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -144,7 +144,7 @@ def repetition(docs: DataFrame, rules: Rules | None = None, carry: bool = False)
                 part = _chunk(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rules)
                 yield batch_of({"doc_id": batch.column(0).slice(a, b - a), **part}, schema)
 
-    return plain_documents(docs).mapInArrow(run, SCHEMA)
+    return plain_documents(docs).mapInArrow(tidy(run), SCHEMA)
 
 
 def _with_verdict(docs: DataFrame, rules: Rules) -> DataFrame:
@@ -157,4 +157,4 @@ def _with_verdict(docs: DataFrame, rules: Rules) -> DataFrame:
             verdicts = [v for a, b in chunks(offsets) for v in _chunk(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rules)["kept"]]
             yield batch.append_column("kept", pa.array(verdicts, pa.bool_()))
 
-    return docs.mapInArrow(run, kept)
+    return docs.mapInArrow(tidy(run), kept)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.llm.text import CONTINUES, LOWER, batch_of, chunks, mix, plain_documents, text_bytes
+from heightgrid.llm.text import CONTINUES, LOWER, batch_of, chunks, mix, plain_documents, text_bytes, tidy
 from heightgrid.session import checkpoint
 
 #: The base rules in the order of their kinds, and the least length of what must match.
@@ -291,7 +291,7 @@ def labelled_windows(docs: DataFrame, per_label: int) -> tuple[np.ndarray, np.nd
                 pick = mix((w.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64)).view(np.int64)
                 yield batch_of({"label": touched.astype(np.int32), "pick": pick, "window": [x.tobytes() for x in w]}, schema)
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "label int, pick long, window binary")
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "label int, pick long, window binary")
     found = checkpoint(found.dropDuplicates(["label", "pick"]))
     rows = [r for label in (1, 0) for r in found.where(F.col("label") == label).orderBy("pick").limit(per_label).collect()]
     rows.sort(key=lambda r: r.pick)
@@ -334,7 +334,7 @@ def scan(docs: DataFrame, network: Network | None) -> DataFrame:
                 yield batch_of(out, schema)
 
     types = ", ".join(f"{c} {t}" for c, t in zip(columns, ["long"] * 5 + ["string"] * 2 + ["array<long>"] * 2, strict=True))
-    return plain_documents(docs).mapInArrow(run, types)
+    return plain_documents(docs).mapInArrow(tidy(run), types)
 
 
 def find_secrets(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95) -> DataFrame:
@@ -378,7 +378,7 @@ def redact(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95, mask:
                     batch = batch.set_column(at, batch.schema.field(at), pa.array(sizes, batch.column(at).type))
             yield batch
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:

@@ -6,7 +6,8 @@ longest document where one is longer than a chunk.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,33 @@ def rolled(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
+def release() -> None:
+    """Hand freed memory back to the system, as far as its allocator can.
+
+    Python workers outlive a stage. What numpy and Arrow keep for later would add to what the next stage needs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, with freed memory handed back before each further batch and after the last."""
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            release()
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(steps(batches))
+        release()
+
+    return whole
+
+
 def plain_documents(docs: DataFrame, *extra: str) -> DataFrame:
     """``doc_id`` as long and ``text`` as string, with the named further columns; other columns are left behind."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
