@@ -15,18 +15,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heightgrid.llm.text import LOWER, U, batch_of, chunks, find_words, mix, plain_documents, span_hashes, text_bytes
+from heightgrid.llm.text import LOWER, U, batch_of, chunks, find_words, mix, plain_documents, release, span_hashes, text_bytes, tidy
 from heightgrid.session import checkpoint, worker_partitions
 
 #: Bytes of context.
 DEPTH = 5
 #: Byte strings a task gathers before it passes them on, and the text worked on at a time.
 MEMORY, TEXT_BYTES, GRAM_BYTES = 1 << 20, 32_000_000, 1_000_000
-#: Rows a task passes on at a time, and keys whose nodes it makes together.
-SENT, GROUPED = 20_000, 60_000
+#: Keys a task works on together, as far as whole groups of them allow.
+GROUPED = 60_000
+#: Groups of word hashes for each partition of a shuffle.
+WORD_GROUPS = 16
 END = 0xFF
 WORD, GRAM, TEXT = range(3)
 #: Bits below the last two bytes of context.
@@ -89,7 +91,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                     keys, counts = keys[:0], counts[:0]
         yield batch_of({"key": keys, "n": counts}, schema)
 
-    return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(tidy(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -208,16 +210,16 @@ def _unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T.copy().view(kind).reshape(-1)
 
 
-def near_rows(keys: np.ndarray, counts: np.ndarray) -> tuple[list[int], list[bytes], list[bytes]]:
-    """Ordered keys and their counts, one packed row for each last two bytes of context."""
-    near = keys >> _NEAR
+def packed_rows(keys: np.ndarray, counts: np.ndarray, low: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Ordered keys and their counts, one packed row for all that differ in the lowest ``low`` bits only."""
+    near = keys >> low
     at = np.concatenate([[0], np.flatnonzero(near[1:] != near[:-1]) + 1, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
     pieces = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
     return near[at[:-1]].tolist() if len(keys) else [], [packed_keys(keys[i:j]) for i, j in pieces], [_packed(counts[i:j]) for i, j in pieces]
 
 
 def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple]]]:
-    """Keys and counts of packed rows sorted by the last two bytes of context, in pieces that hold whole groups of them; and the rows."""
+    """Keys and counts of packed rows sorted by ``key``, in pieces that hold whole groups of it; and the rows."""
     held: list[tuple] = []
     keys: list[np.ndarray] = []
     counts: list[np.ndarray] = []
@@ -261,7 +263,7 @@ def short_nodes(grams: DataFrame) -> list[Nodes]:
             if (counts > 0).any():
                 yield batch_of(dict(zip(schema.names, long_nodes(distinct[counts > 0], counts[counts > 0])[1], strict=True)), schema)
 
-    made = _by_near(grams).mapInArrow(run, "code long, zeros long, ones long, below double")
+    made = _by_near(grams).mapInArrow(tidy(run), "code long, zeros long, ones long, below double")
     first = made.groupBy("code").agg(*[F.sum(c).alias(c) for c in schema.names[1:]]).toArrow().sort_by("code")
     return _short(*(first.column(c).to_numpy() for c in schema.names))
 
@@ -293,7 +295,27 @@ def gram_scores(grams: DataFrame) -> DataFrame:
                 scores = [_packed(value[np.searchsorted(distinct, unpacked_keys(packed))].view(np.int64)) for _, _, packed in some]
                 yield batch_of({"batch": [r[0] for r in some], "key": [r[1] for r in some], "packed": [r[2] for r in some], "scores": scores}, schema)
 
-    return _by_near(grams).mapInArrow(run, "batch long, key long, packed binary, scores binary")
+    return _by_near(grams).mapInArrow(tidy(run), "batch long, key long, packed binary, scores binary")
+
+
+def word_counts(words: DataFrame) -> DataFrame:
+    """``batch, key, packed, scores, kinds, total``: how often each word of a packed row occurs in training rows of all batches.
+
+    ``kinds`` and ``total`` add up to the distinct and all training words of a group; they stand in one of its rows.
+    """
+    types = "batch long, key long, packed binary, scores binary, kinds long, total long"
+    schema = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("packed", pa.binary()), ("scores", pa.binary()), ("kinds", pa.int64()), ("total", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, rows in _near_groups(batches):
+            distinct, counts = _counted(keys, n)
+            numbers, groups, packed = zip(*rows, strict=True)
+            scores = [_packed(counts[np.searchsorted(distinct, unpacked_keys(x))]) for x in packed]
+            first = np.arange(len(rows)) == 0
+            sums = {"kinds": first * np.count_nonzero(counts), "total": first * counts.sum()}
+            yield batch_of({"batch": numbers, "key": groups, "packed": packed, "scores": scores, **sums}, schema)
+
+    return _by_near(words).mapInArrow(tidy(run), types)
 
 
 class Lookup:
@@ -319,6 +341,14 @@ class Lookup:
         return self.values[at]
 
 
+def _looked_up(rows: pa.Table, kind: type) -> Lookup:
+    """Values of all keys in packed rows."""
+    rows = rows.sort_by("key")
+    keys = [unpacked_keys(x.as_py()) for x in rows.column("packed")]
+    values = [_unpacked(x.as_py(), kind) for x in rows.column("scores")]
+    return Lookup(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, kind), *values]))
+
+
 class Counter:
     """Distinct keys of all rows and how often each occurs in training rows."""
 
@@ -336,22 +366,28 @@ def score(docs: DataFrame) -> DataFrame:
 
     Both models must look up every byte string and word of every text, and their tables grow with the corpus. A task
     therefore gathers the distinct ones of each 32 MB of text, and writes them next to the packed texts; only they are
-    joined with the models, and their values come back to their batch. Words are known by 64-bit hashes.
+    joined with the models, and their values come back to their batch. Words are known by 64-bit hashes. Both travel in
+    packed groups, strings by their last two bytes of context and words by the upper bits of their hash, so a frequent
+    word is one entry of a group in each batch and never a key of its own.
 
     Null or empty text: its end mark alone. A null id is a training document. Repeated rows count and score each for
     itself. Without training text every estimate is one half and the word model's counts are zero. An empty table gives
     an empty one; further columns are not read.
     """
     texts = plain_documents(docs, is_held_out().alias("held_out"))
-    names = ("batch", "kind", "key", "n", "doc_ids", "held_out", "sizes", "packed", "counts")
+    word_bits = 64 - (WORD_GROUPS * worker_partitions(docs.sparkSession) - 1).bit_length()
+    names = ("batch", "kind", "key", "doc_ids", "held_out", "sizes", "packed", "counts")
     longs = pa.list_(pa.int64())
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary(), pa.binary())
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
-    def filled(number: int, kind: int, some: dict) -> Iterator[pa.RecordBatch]:
-        m = len(some["key"])
-        nothing = {x: pa.nulls(m, schema.field(x).type) for x in names if x not in some}
-        yield batch_of({**nothing, "batch": np.full(m, number), "kind": np.full(m, kind, np.int32), **some}, schema)
+    def filled(number: int, kind: int, found: Counter, low: int) -> Iterator[pa.RecordBatch]:
+        near, keys, counts = packed_rows(found.keys, found.counts, low)
+        for i in range(0, len(near), 256):
+            some = {"key": near[i : i + 256], "packed": keys[i : i + 256], "counts": counts[i : i + 256]}
+            m = len(some["key"])
+            nothing = {x: pa.nulls(m, schema.field(x).type) for x in names if x not in some}
+            yield batch_of({**nothing, "batch": np.full(m, number), "kind": np.full(m, kind, np.int32), **some}, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
@@ -370,27 +406,17 @@ def score(docs: DataFrame) -> DataFrame:
                     starts, ends, first = find_words(part, own)
                     found[WORD].add(span_hashes(part, starts, ends, lower=True).view(np.int64), np.repeat(held[i:j], np.diff(first)))
                     text = {"doc_ids": [batch.column(0).slice(i, j - i).to_pylist()], "held_out": [held[i:j]], "sizes": [np.diff(own)], "packed": [packer.compress(part.tobytes())]}
-                    yield batch_of({"batch": [number], "kind": [TEXT], "key": [None], "n": [None], **text, "counts": [None]}, schema)
-                words = found[WORD]
-                for i in range(0, len(words.keys), SENT):
-                    yield from filled(number, WORD, {"key": words.keys[i : i + SENT], "n": words.counts[i : i + SENT]})
-                near, keys, counts = near_rows(found[GRAM].keys, found[GRAM].counts)
-                for i in range(0, len(near), 256):
-                    yield from filled(number, GRAM, {"key": near[i : i + 256], "packed": keys[i : i + 256], "counts": counts[i : i + 256]})
+                    yield batch_of({"batch": [number], "kind": [TEXT], "key": [None], **text, "counts": [None]}, schema)
+                yield from filled(number, WORD, found[WORD], word_bits)
+                yield from filled(number, GRAM, found[GRAM], _NEAR)
                 number += 1
 
-    coded = checkpoint(texts.mapInArrow(run, "batch long, kind int, key long, n long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, packed binary, counts binary"))
-    # a word has one row per batch, so its rows are few; they are summed where they meet and keep their batch
-    same = Window.partitionBy("key")
-    known = coded.where(F.col("kind") == WORD).select(
-        "batch", "key", F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("batch")) == 1).alias("once")
-    )
-    coming = checkpoint(known)
+    coded = checkpoint(texts.mapInArrow(tidy(run), "batch long, kind int, key long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, packed binary, counts binary"))
+    coming = checkpoint(word_counts(coded.where(F.col("kind") == WORD)))
     trained_rows = F.size(F.filter("held_out", lambda x: ~x))
     ends = coded.where(F.col("kind") == TEXT).agg(F.coalesce(F.sum(trained_rows), F.lit(0))).first()[0]
-    v = F.coalesce(F.sum(F.when(F.col("once") & (F.col("c") > 0), 1)), F.lit(0)).alias("v")
-    totals = coming.agg(v, F.coalesce(F.sum(F.when(F.col("once"), F.col("c"))), F.lit(0)).alias("n")).first()
-    trained, kinds_ = totals.n + ends, totals.v + (ends > 0)
+    totals = coming.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kinds", "total")]).first()
+    trained, kinds_ = totals.total + ends, totals.kinds + (ends > 0)
     whole = np.log10(trained + 0.5 * (kinds_ + 1))
     end_score, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
     result = pa.schema(
@@ -398,11 +424,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
 
     def look_up(rows: pa.Table, values: pa.Table) -> pa.Table:
-        word = values.filter(pc.equal(values.column("kind"), WORD))
-        words = Lookup(word.column("key").to_numpy(), word.column("value").to_numpy())
-        gram = values.filter(pc.equal(values.column("kind"), GRAM))
-        keys, scores = ([f(x.as_py()) for x in gram.column(c)] for c, f in (("packed", unpacked_keys), ("scores", lambda x: _unpacked(x, np.float64))))
-        strings = Lookup(np.concatenate(keys), np.concatenate(scores))
+        words, strings = (_looked_up(values.filter(pc.equal(values.column("kind"), kind)), of) for kind, of in ((WORD, np.int64), (GRAM, np.float64)))
         unpacker, made = zstandard.ZstdDecompressor(), []
         for ids, held, sizes, packed in zip(*(rows.column(c) for c in ("doc_ids", "held_out", "sizes", "packed")), strict=True):
             offsets = np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
@@ -416,12 +438,12 @@ def score(docs: DataFrame) -> DataFrame:
             hits = np.bincount(row[c > 0], minlength=n) + end_known
             out = {"doc_id": ids.values, "held_out": held.values, "n_tokens": tokens, "n_known": hits, "train_tokens": np.full(n, trained), "base_score": base, "score": scores}
             made.append(batch_of(out, result))
+        del words, strings
+        release()
         return pa.Table.from_batches(made, result)
 
     rows = coded.where(F.col("kind") == TEXT).select("batch", "doc_ids", "held_out", "sizes", "packed")
-    none = F.lit(None).cast("binary")
-    scored = gram_scores(coded.where(F.col("kind") == GRAM)).select("batch", F.lit(GRAM).alias("kind"), "key", F.lit(None).cast("double").alias("value"), "packed", "scores")
-    counted = coming.select("batch", F.lit(WORD).alias("kind"), "key", F.col("c").cast("double").alias("value"), none.alias("packed"), none.alias("scores"))
-    values = counted.unionByName(scored)
+    scored = gram_scores(coded.where(F.col("kind") == GRAM)).select("batch", F.lit(GRAM).alias("kind"), "key", "packed", "scores")
+    values = coming.select("batch", F.lit(WORD).alias("kind"), "key", "packed", "scores").unionByName(scored)
     types = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return rows.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(look_up, types)
