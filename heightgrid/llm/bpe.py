@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from heightgrid.llm.text import CONTINUES, batch_of, chunks, plain_documents, text_bytes, tidy
 
 #: Text worked on at a time; a longer text stands alone.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 4_000_000
 #: Distinct pieces that are merged together.
 PIECES_AT_ONCE = 250_000
 #: White space in one byte, separators that some tables count as such included, and in several bytes.
@@ -314,7 +314,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row: ids written as decimals with commas, and the decoded text.
 
     Null or empty text: no ids, digests of the empty string. Null ids and repeated rows stay; further columns are not
-    read; an empty table gives an empty one. There is no shuffle; memory holds 8 MB of text, or one longer text.
+    read; an empty table gives an empty one. There is no shuffle; memory holds 4 MB of text, or one longer text.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 

@@ -154,7 +154,8 @@ def _with_verdict(docs: DataFrame, rules: Rules) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(place))
-            verdicts = [v for a, b in chunks(offsets) for v in _chunk(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rules)["kept"]]
-            yield batch.append_column("kept", pa.array(verdicts, pa.bool_()))
+            for a, b in chunks(offsets):
+                verdicts = _chunk(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rules)["kept"]
+                yield batch.slice(a, b - a).append_column("kept", pa.array(verdicts, pa.bool_()))
 
     return docs.mapInArrow(tidy(run), kept)

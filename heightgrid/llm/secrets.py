@@ -342,6 +342,21 @@ def find_secrets(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95)
     return scan(docs, fit_network(docs, per_label, recall))
 
 
+def _with_texts(batch: pa.RecordBatch, place: int, changed: dict[int, str]) -> pa.RecordBatch:
+    """The batch with new texts, and their lengths in ``n_chars`` if it has one."""
+    if not changed:
+        return batch
+    news = [(place, changed)]
+    if "n_chars" in batch.schema.names:
+        news.append((batch.schema.names.index("n_chars"), {k: len(t) for k, t in changed.items()}))
+    for at, new in news:
+        values = batch.column(at).to_pylist()
+        for k, value in new.items():
+            values[k] = value
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(values, batch.column(at).type))
+    return batch
+
+
 def redact(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95, mask: str = "[redacted]") -> DataFrame:
     """The documents with every span replaced by ``mask``; overlapping spans are replaced together.
 
@@ -353,30 +368,15 @@ def redact(docs: DataFrame, per_label: int = 2_000, recall: float = 0.95, mask:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(place)
-            data, offsets = text_bytes(column)
-            changed: dict[int, str] = {}
+            data, offsets = text_bytes(batch.column(place))
             for i, j in chunks(offsets):
                 part, own = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 scanned = _scan(part, own)
                 spans = [[(s, e) for s, e, _ in x] for x in scanned[0]]
                 for k, s, e in network_spans(network, part, own, scanned):
                     spans[k].append((s, e))
-                for k, x in enumerate(spans):
-                    if x:
-                        changed[i + k] = masked(part[own[k] : own[k + 1]].tobytes().decode(), x, mask)
-            if changed:
-                texts = column.to_pylist()
-                for k, t in changed.items():
-                    texts[k] = t
-                batch = batch.set_column(place, batch.schema.field(place), pa.array(texts, column.type))
-                if "n_chars" in batch.schema.names:
-                    at = batch.schema.names.index("n_chars")
-                    sizes = batch.column(at).to_pylist()
-                    for k, t in changed.items():
-                        sizes[k] = len(t)
-                    batch = batch.set_column(at, batch.schema.field(at), pa.array(sizes, batch.column(at).type))
-            yield batch
+                changed = {k: masked(part[own[k] : own[k + 1]].tobytes().decode(), x, mask) for k, x in enumerate(spans) if x}
+                yield _with_texts(batch.slice(i, j - i), place, changed)
 
     return docs.mapInArrow(tidy(run), schema)
 
