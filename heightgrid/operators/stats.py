@@ -2,74 +2,90 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heightgrid.functions.text import band_name
-from heightgrid.session import with_row
+from heightgrid.session import checkpoint, with_row
+
+_PARTS = 1_000  # even parts a bracket is cut into by the sketch of a round
+_SKETCH = 10_000  # rank error of the sketch: 1 / 10,000 of the bracket
+_FEW = 20_000  # values of a bracket that are ranked one by one at the end
+
+
+def _marks() -> Column:
+    return F.percentile_approx("_v", [i / _PARTS for i in range(_PARTS + 1)], _SKETCH).alias("_s")
 
-_SKETCH = 10_000  # rank error of the quantile sketch: 1 / 10,000 of the rows
-_MARGIN = 2.0 / _SKETCH
-_SMALL = 20_000  # groups up to this size are bracketed by their own ends
+
+def _with_bracket(state: DataFrame) -> DataFrame:
+    """Ends ``a``, ``b`` of the three parts of the sketch about the wanted rank."""
+    at = F.floor(F.col("r") / F.col("m") * _PARTS)
+    return state.withColumns({"a": F.get("_s", F.greatest(at - 1, F.lit(0))), "b": F.get("_s", F.least(at + 2, F.lit(_PARTS)))}).drop("_s")
+
+
+def _meet(values: DataFrame, state: DataFrame, on: list[str]) -> DataFrame:
+    return values.join(state, on) if on else values.crossJoin(F.broadcast(state))  # two rows for each quantile
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles as array ``q`` (plus ``n``) per group, without one task holding a whole group.
 
-    A mergeable sketch brackets each quantile first. The second pass counts what lies below the bracket and keeps only
-    the few values inside it (a 1/2,500 share of a large group), counted per distinct value. A wanted rank outside its
-    bracket is an error.
+    Selection in rounds. Each wanted rank has a bracket of values, at first its whole group. A round sketches the
+    bracket, takes three of its thousand parts, counts exactly what lies before, at, between and behind their ends, and
+    goes on with the piece that holds the rank, whichever it is: a bad sketch costs a round, never a wrong value. The
+    piece is written to the shared folder, so each round reads about 3 / 1,000 of the one before. Brackets of one
+    value, or of few, are done; these few are ranked at the end.
+
+    Null values do not count; groups without values and an empty table give no row.
     """
     keys = keys or []
     named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    low = [max(p - _MARGIN, 0.0) for p in probs]
-    high = [min(p + _MARGIN, 1.0) for p in probs]
-    sketch = named.groupBy(*keys).agg(
-        F.percentile_approx("_v", low + high, _SKETCH).alias("_b"), F.count("_v").alias("n"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-    )
-    small = F.col("n") <= _SMALL
-    k = len(probs)
-    brackets = sketch.select(
-        *keys, "n",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
-                    F.when(small, F.col("_min")).otherwise(F.col("_b")[i]).alias("lo"),
-                    F.when(small, F.col("_max")).otherwise(F.col("_b")[k + i]).alias("hi"),
-                )
-                for i, p in enumerate(probs)
-            ]
-        ).alias("_q"),
-    )
-    joined = named.join(brackets, keys) if keys else with_row(named, brackets)
-    spread = joined.select(
-        *keys, "n", "_v", F.explode(F.filter("_q", lambda b: F.col("_v") <= b["hi"])).alias("_b")
-    ).select(*keys, "n", "_b.*", F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v")).alias("_in"))
-    counted = spread.groupBy(*keys, "i", "p", "n", "_in").agg(F.count(F.lit(1)).alias("_c"))
-    inside = F.sort_array(F.collect_list(F.when(F.col("_in").isNotNull(), F.struct("_in", "_c"))))
-    per_prob = counted.groupBy(*keys, "i", "p", "n").agg(
-        F.coalesce(F.sum(F.when(F.col("_in").isNull(), F.col("_c"))), F.lit(0)).alias("_below"), inside.alias("_vals")
+    target = [*keys, "j"]
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    ranks = [F.struct(F.lit(2 * i + up).alias("j"), (F.ceil if up else F.floor)(pos).cast("long").alias("r")) for i, pos in enumerate(place) for up in (0, 1)]
+    groups = named.groupBy(*keys).agg(
+        _marks(), F.count("_v").alias("n"), F.count("_v").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
     )
-
-    def at_rank(rank: Column) -> Column:
-        start = F.struct(F.col("_below").alias("seen"), F.lit(None).cast("double").alias("hit"))
-
-        def step(acc, v):
-            seen = acc["seen"] + v["_c"]
-            hit = F.when(acc["hit"].isNull() & (rank < seen), v["_in"]).otherwise(acc["hit"])
-            return F.struct(seen.alias("seen"), hit.alias("hit"))
-
-        hit = F.when(rank >= F.col("_below"), F.aggregate("_vals", start, step)["hit"])
-        return F.coalesce(hit, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
-
-    pos = F.col("p") * (F.col("n") - 1)
-    lo, hi = at_rank(F.floor(pos)), at_rank(F.ceil(pos))
-    value_at = per_prob.select(*keys, "n", "i", (lo + (hi - lo) * (pos - F.floor(pos))).alias("_x"))
-    return value_at.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("i", "_x"))).alias("_s")).select(
-        *keys, "n", F.col("_s._x").alias("q")
+    first = groups.where("n > 0").withColumn("_t", F.explode(F.array(*ranks))).select("*", "_t.*").drop("_t")
+    state = checkpoint(_with_bracket(first))
+    rest, on, done, pools = named, keys, [], []
+    while True:
+        wide = (F.col("m") > _FEW) & (F.col("lo") < F.col("hi"))
+        closed = state.where(~wide).select(*target, "n", "r", "lo", "hi")
+        ends = closed.where(F.col("lo") < F.col("hi")).select(*target, "lo", "hi")
+        done.append(closed)
+        pools.append(_meet(rest, ends, on).where(F.col("_v").between(F.col("lo"), F.col("hi"))).select(*target, "_v"))
+        opened = state.where(wide)
+        if opened.isEmpty():
+            break
+        met = _meet(rest, opened.select(*target, "a", "b"), on)
+        v, a, b = F.col("_v"), F.col("a"), F.col("b")
+        piece = F.when(v < a, 0).when(v == a, 1).when(v < b, 2).when(v == b, 3).otherwise(4)
+        pieces = met.groupBy(*target, piece.alias("_piece")).agg(F.count("_v").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        upto = Window.partitionBy(*target).orderBy("_piece")  # at most five rows
+        pieces = pieces.withColumn("_before", F.sum("m").over(upto) - F.col("m"))
+        chosen = opened.select(*target, "n", "r").join(pieces, target)
+        chosen = chosen.where((F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("m")))
+        chosen = checkpoint(chosen.withColumn("r", F.col("r") - F.col("_before")).drop("_before", "_piece"))
+        ends = chosen.where(F.col("lo") < F.col("hi")).select(*target, "lo", "hi")
+        rest = checkpoint(_meet(rest, ends, on).where(F.col("_v").between(F.col("lo"), F.col("hi"))).select(*target, "_v"))
+        on = target
+        state = checkpoint(_with_bracket(chosen.join(rest.groupBy(*target).agg(_marks()), target, "left")))
+
+    closed, pool = (reduce(DataFrame.unionByName, parts) for parts in (done, pools))
+    order = Window.partitionBy(*target).orderBy("_v")  # at most ``_FEW`` rows
+    counted = pool.groupBy(*target, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counted = counted.withColumn("_seen", F.sum("_c").over(order))
+    hit = counted.join(closed.select(*target, "n", "r"), target).where(
+        (F.col("r") < F.col("_seen")) & (F.col("r") >= F.col("_seen") - F.col("_c"))
     )
+    tied = closed.where(F.col("lo") == F.col("hi")).select(*target, "n", F.col("lo").alias("_v"))
+    found = hit.select(*target, "n", "_v").unionByName(tied)
+    at = lambda j: F.max(F.when(F.col("j") == j, F.col("_v")))
+    q = [at(2 * i) + (at(2 * i + 1) - at(2 * i)) * (pos - F.floor(pos)) for i, pos in enumerate(place)]
+    return found.groupBy(*keys, "n").agg(F.array(*q).alias("q"))
 
 
 def describe(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
@@ -154,7 +170,7 @@ def kernel_density(df: DataFrame, value: str, points: int = 100, bins: int = 400
 def band_correlations(df: DataFrame, target: str, vector: str = "embedding", digits: int = 2) -> DataFrame:
     """Pearson correlation of a column with every element of an array column; null without spread.
 
-    The sums of all bands are taken in one row per task, so nothing is spread over bands before the shuffle.
+    A row becomes one per element inside its task; what is shuffled are the sums of each band and task.
     """
     spread = df.select(F.col(target).cast("double").alias("_t"), F.posexplode(vector).alias("dim", "_v"))
     c = F.when(
@@ -175,8 +191,6 @@ def regression_scores(preds: DataFrame, keys: list[str], y: str = "y_true", p: s
 
 def number_folds(folds: DataFrame, fold: str = "folds") -> DataFrame:
     """Fold labels renumbered 1..k; the list of distinct folds is as short as the configured k."""
-    from pyspark.sql import Window
-
     return folds.select(fold).distinct().withColumn("fold_no", F.dense_rank().over(Window.orderBy(fold)))
 
 

@@ -82,7 +82,10 @@ def select_tiles(tiles: DataFrame, area: DataFrame, forest: DataFrame, water: Da
 
 
 def sample_heights(points: DataFrame, plan: TilePlan, s: Settings, ground_known: bool = False) -> DataFrame:
-    """Height grid of the chosen tiles, strata, large zones, and height-weighted random points with their heights."""
+    """Height grid of the chosen tiles, strata, large zones, and height-weighted random points with their heights.
+
+    Each chosen (tile, block) has draws of its own, from its own cells: parts of a tile in other blocks give none.
+    """
     wanted = plan.tiles.select("tile_id").distinct()
     pts = points.join(wanted, "tile_id", "left_semi")
     pts = height_above_ground(pts if ground_known else classify_ground(pts))
@@ -93,14 +96,18 @@ def sample_heights(points: DataFrame, plan: TilePlan, s: Settings, ground_known:
     zoned = zones.label_zones(strata.select("tile_id", "cx", "cy", "strata"))
     large = checkpoint(zones.large_zones(zoned, s.min_area, s.res_m).select("tile_id", "strata", "cx", "cy"))
     k = len(s.height_edges)
-    counts = with_row(large.select("tile_id", "strata").distinct(), plan.points_per_tile.select("points_per_tile"))
+    part = ["tile_id", "bcol", "brow"]
+    centres = large.withColumns({"_px": (F.col("cx") + 0.5) * s.res_m, "_py": (F.col("cy") + 0.5) * s.res_m})
+    placed = points_to_grid_blocks(centres, plan.blocks, s.block_width, s.block_height, "_px", "_py")
+    placed = checkpoint(placed.join(plan.tiles.select(*part), part, "left_semi").select(*part, "strata", "cx", "cy"))
+    counts = with_row(placed.select(*part, "strata").distinct(), plan.points_per_tile.select("points_per_tile"))
     counts = counts.withColumn("n", sampling.allocation("strata", "points_per_tile", k, s.label_offset))
-    drawn = sampling.random_points(large, ["tile_id", "strata"], counts.drop("points_per_tile"), "n", s.res_m, s.seed)
+    drawn = sampling.random_points(placed, [*part, "strata"], counts.drop("points_per_tile"), "n", s.res_m, s.seed)
     drawn = drawn.withColumn("label", stratum_label("strata", s.height_labels, s.label_offset))
     # a draw takes the height of its own tile, also where tiles overlap
     high = drawn.join(chm, ["tile_id", "cx", "cy"]).drop("cx", "cy")
     high = high.where((F.col("height") > s.min_height) & (F.col("height") < s.max_height))
-    return high.withColumn("id", stable_id("tile_id", "strata", "draw")).drop("draw")
+    return high.withColumn("id", stable_id(*part, "strata", "draw")).drop("draw", "bcol", "brow")
 
 
 def build_training_table(samples: DataFrame, blocks: DataFrame, pixels: DataFrame, s: Settings) -> DataFrame:

@@ -44,10 +44,16 @@ def test_heights_belong_to_the_tile_of_the_draw(spark, monkeypatch):
     monkeypatch.setattr(dataset, "height_above_ground", lambda p: p)
     monkeypatch.setattr(dataset, "in_range", lambda p, *a: p)
     monkeypatch.setattr(dataset, "height_grid", lambda p, *a: grid.withColumn("n", F.lit(1)))
-    tiles = spark.createDataFrame([(1,), (2,)], "tile_id long")
-    plan = dataset.TilePlan(tiles, None, None, spark.createDataFrame([(40.0,)], "points_per_tile double"))
-    rows = dataset.sample_heights(tiles, plan, Settings(exclude_water=False), ground_known=True).collect()
+    tiles = spark.createDataFrame([(1, 0, 0), (2, 0, 0), (2, 1, 0)], "tile_id long, bcol long, brow long")
+    s = Settings(exclude_water=False, block_width=100.0, block_height=200.0)
+    boxes = [(0, 0, 0.0, 0.0, 100.0, 200.0), (1, 0, 100.0, 0.0, 200.0, 200.0)]
+    blocks = spark.createDataFrame(boxes, "bcol long, brow long, xmin double, ymin double, xmax double, ymax double")
+    plan = dataset.TilePlan(tiles, blocks, None, spark.createDataFrame([(40.0,)], "points_per_tile double"))
+    rows = dataset.sample_heights(tiles, plan, s, ground_known=True).collect()
     assert rows and len({r.id for r in rows}) == len(rows) and all(r.height == 10.0 * r.tile_id for r in rows)
+    # a tile has draws in its chosen blocks only, and as many in each of them
+    places = lambda t: [int(r.x // 100) for r in rows if r.tile_id == t]
+    assert set(places(1)) == {0} and places(2).count(0) == places(2).count(1) > 0
 
 
 def test_invalid_numbers_raise(spark):

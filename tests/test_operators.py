@@ -91,6 +91,25 @@ def test_quantiles_of_one_hot_group(spark):
     assert got == pytest.approx(want)
 
 
+def test_quantiles_by_rounds(spark, monkeypatch):
+    """Many rounds, heavy ties, far outliers and sketches that are wrong all end at the same values."""
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(size=3000), np.full(2000, 0.5), rng.integers(0, 2, 2000), [1e300, -1e300, 1e-300]])
+    g = rng.integers(0, 3, len(v))
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v, strict=True)] + [(1, None), (7, None)], "g int, v double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    monkeypatch.setattr(stats, "_FEW", 300)
+    for parts, sketch in ((1_000, 10_000), (50, 20)):
+        monkeypatch.setattr(stats, "_PARTS", parts)
+        monkeypatch.setattr(stats, "_SKETCH", sketch)
+        assert stats.exact_quantiles(df, "v", probs).first()["q"] == pytest.approx(np.quantile(v, probs), rel=1e-12)
+        got = {r["g"]: r["q"] for r in stats.exact_quantiles(df, "v", probs, ["g"]).collect()}
+        assert set(got) == {0, 1, 2}
+        for k, q in got.items():
+            assert q == pytest.approx(np.quantile(v[g == k], probs), rel=1e-12)
+    assert stats.exact_quantiles(df.where("v is null"), "v", probs).isEmpty()
+
+
 def test_outliers_without_spread(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "height double")
     assert stats.remove_outliers(df).count() == 0
