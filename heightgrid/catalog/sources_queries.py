@@ -11,8 +11,9 @@ from heightgrid.functions.wkb import to_wkt
 from heightgrid.operators.mosaic import images_between, mosaic
 from heightgrid.operators.spatial_join import BOX
 from heightgrid.operators.stats import describe
-from heightgrid.session import scratch_path
+from heightgrid.session import scratch_path, with_row
 from heightgrid.sources import outputs, rasters, tables
+from heightgrid.sources.inventory import footer_crs
 
 
 @query(
@@ -106,6 +107,17 @@ def a10(t):
     return mosaic(picked, ["value"])
 
 
+@query("a17_footer_crs", "SELECT 32633 AS epsg, count(*) AS sites, round(sum(2 * half * half), 4) AS area FROM sites")
+def a17(t):
+    """Sites written with a footer entry in each file; the code read back from every footer, the rows from every file."""
+    path = scratch_path(t.spark, "geofooter")
+    tables.write_geoparquet(site_geoms(t).select("site_id", "geom"), path, sort_cell=100.0, srid=32633)
+    files = t.spark.read.parquet(path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    codes = footer_crs(files).groupBy("epsg").agg(F.count(F.lit(1)).alias("files"))
+    rows = tables.read_geoparquet(t.spark, path).agg(F.count(F.lit(1)).alias("sites"), F.round(F.sum(geo.area("geom")), 4).alias("area"))
+    return with_row(codes.select("epsg"), rows)
+
+
 @query("a11_csv_to_parquet", "SELECT event_id, user_id, value FROM events")
 def a11(t):
     """Samples exported as CSV, read with a declared schema, kept as Parquet."""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from heightgrid.functions.crs import set_crs
 from heightgrid.functions.geometry import bbox
 from heightgrid.functions.wkb import from_wkb, from_wkt, to_wkb
+from heightgrid.session import checkpoint
+from heightgrid.sources.footers import write_with_footer
 
 
 def read_geoparquet(spark: SparkSession, path: str, srid: int | None = None, geometry: str = "geometry") -> DataFrame:
@@ -16,17 +18,24 @@ def read_geoparquet(spark: SparkSession, path: str, srid: int | None = None, geo
     return df if srid is None else set_crs(df, srid)
 
 
-def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry", mode: str = "overwrite", sort_cell: float | None = None):
+def write_geoparquet(
+    df: DataFrame, path: str, geometry: str = "geometry", mode: str = "overwrite", sort_cell: float | None = None, srid: int | None = None
+):
     """``geom`` as WKB next to its bbox columns, so that readers can skip row groups by position.
 
-    With ``sort_cell`` rows are ranged by coarse position first, which makes that skipping effective.
+    With ``sort_cell`` rows are ranged by coarse position first, which makes that skipping effective. With ``srid``
+    each file carries the ``geo`` footer entry (encoding, CRS code, box columns, and the box of its own rows), which
+    Spark's writer cannot add; see ``write_with_footer``.
     """
     box = bbox("geom")
     out = df.withColumn("bbox", box).withColumn(geometry, to_wkb("geom")).drop("geom")
     if sort_cell is not None:
         place = [F.floor(F.col("bbox.ymin") / sort_cell), F.floor(F.col("bbox.xmin") / sort_cell)]
         out = out.repartitionByRange(*place).sortWithinPartitions(*place)
-    out.write.mode(mode).parquet(path)
+    if srid is None:
+        out.write.mode(mode).parquet(path)
+    else:
+        write_with_footer(out, path, geometry, srid, mode)
 
 
 def read_directory(spark: SparkSession, path: str, srid: int = 4326, wkt: str | None = "wkt", out_path: str | None = None):
@@ -62,17 +71,26 @@ def read_hive(spark: SparkSession, root: str, columns: list[str], condition) ->
     return spark.read.parquet(root).where(condition).select(*columns)
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, schema: str, out_path: str) -> DataFrame:
-    """CSV with a declared schema to Parquet; malformed rows are dropped, missing files are skipped."""
-    df = (
+def csv_to_parquet(spark: SparkSession, csv_path: str, schema: str, out_path: str, reject_path: str | None = None) -> DataFrame:
+    """CSV with a declared schema to Parquet; missing files are skipped.
+
+    Malformed rows go to ``reject_path`` (default: ``out_path`` with ``_rejects``) as ``file, record``, so what is left
+    out can be counted and read. The text is parsed once. A damaged file ends the job instead of losing its rest.
+    """
+    parsed = checkpoint(
         spark.read.option("header", True)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_record")
         .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-        .schema(schema)
+        .schema(f"{schema}, _record string")
         .csv(csv_path)
+        .withColumn("_file", F.col("_metadata.file_path"))
+    )
+    bad = F.col("_record").isNotNull()
+    parsed.where(bad).select(F.col("_file").alias("file"), F.col("_record").alias("record")).write.mode("overwrite").parquet(
+        reject_path or f"{out_path}_rejects"
     )
-    df.write.mode("overwrite").parquet(out_path)
+    parsed.where(~bad).drop("_record", "_file").write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 

@@ -1,11 +1,12 @@
 import math
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from heightgrid.functions import crs
 from heightgrid.functions import geometry as geo
-from heightgrid.functions.wkb import from_wkb, from_wkt, to_wkb, to_wkt
+from heightgrid.functions.wkb import from_wkb, from_wkt, to_wkb, to_wkt, wkb_problem, wkb_srid
 
 
 def one(spark, *cols):
@@ -83,6 +84,32 @@ def test_text_and_binary_round_trip(spark, wkt):
     assert df.first()["w"] == wkt
 
 
+def test_binary_forms_and_rejects(spark):
+    """Z, M, SRID, big-endian and mixed types in one column; what is no geometry has a reason and stops nothing."""
+    d = lambda order, *v: struct.pack(f"{order}{len(v)}d", *v)
+    point = struct.pack("<BI", 1, 1) + d("<", 1, 2)
+    rows = {
+        "iso z": (struct.pack("<BI", 1, 1001) + d("<", 1, 2, 9), "POINT (1.0 2.0)", None, None),
+        "iso zm": (struct.pack("<BI", 1, 3001) + d("<", 1, 2, 9, 8), "POINT (1.0 2.0)", None, None),
+        "flags": (struct.pack("<BII", 1, 1 | 0xE0000000, 32633) + d("<", 1, 2, 9, 8), "POINT (1.0 2.0)", None, 32633),
+        "big": (struct.pack(">BII", 0, 1002, 2) + d(">", 0, 0, 7, 1, 1, 7), "LINESTRING (0.0 0.0, 1.0 1.0)", None, None),
+        "mixed order": (struct.pack(">BII", 0, 4, 1) + point, "MULTIPOINT ((1.0 2.0))", None, None),
+        "collection": (struct.pack("<BII", 1, 7, 0), None, "unsupported", None),
+        "cut": (point[:-3], None, "buffer", None),
+        "more": (point + b"x", None, "behind", None),
+        "member": (struct.pack("<BII", 1, 6, 1) + point, None, "inside", None),
+        "empty": (b"", None, "range", None),
+        "null": (None, None, None, None),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in rows.items()], "k string, b binary").coalesce(1)
+    out = df.select("k", to_wkt(from_wkb("b")).alias("w"), wkb_problem("b").alias("p"), wkb_srid("b").alias("s"), to_wkb(from_wkb("b")).alias("back"))
+    for r in out.collect():
+        _, text, reason, srid = rows[r["k"]]
+        assert (r["w"], r["s"], r["back"] is None) == (text, srid, text is None), r["k"]
+        assert r["p"] is None if reason is None else reason in r["p"], (r["k"], r["p"])
+    assert df.where("k = ''").select(from_wkb("b").alias("g")).isEmpty()
+
+
 def test_known_utm_position_and_round_trip(spark):
     # on the central meridian the easting is 500 km; the equator has northing 0
     x, y = crs.reproject_xy(F.lit(15.0), F.lit(0.0), 4326, 32633)

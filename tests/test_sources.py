@@ -1,15 +1,18 @@
 import json
+import os
 import struct
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from heightgrid.functions.text import file_stem, store_bucket, store_key
+from heightgrid.functions.wkb import from_wkt
 from heightgrid.sources.inventory import cloud_optimised, footer_crs
 from heightgrid.sources.outputs import pending, written_keys
 from heightgrid.sources.rasters import cells_to_payload, payload_to_cells, write_cells
-from heightgrid.sources.tables import csv_to_parquet
+from heightgrid.sources.tables import csv_to_parquet, read_geoparquet, write_geoparquet
 
 
 def las_bytes(user_id, extended=False):
@@ -69,6 +72,26 @@ def test_malformed_csv_rows_drop(spark, tmp_path):
     (tmp_path / "x.csv").write_text("id,value\n1,2.5\nbad,row\n3,4.5\n")
     out = csv_to_parquet(spark, str(tmp_path / "x.csv"), "id long, value double", str(tmp_path / "out"))
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2.5), (3, 4.5)]
+    bad = spark.read.parquet(str(tmp_path / "out_rejects")).collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["record"]) for r in bad] == [("x.csv", "bad,row")]
+
+
+def test_footer_of_written_files(spark, tmp_path):
+    path = str(tmp_path / "geo")
+    df = spark.range(40).repartition(4).select("id", F.lit("extra").alias("name"), from_wkt(F.format_string("POLYGON((%1$d 0,%2$d 0,%2$d 5,%1$d 0))", F.col("id"), F.col("id") + 1)).alias("geom"))
+    for mode, n in (("overwrite", 40), ("append", 80), ("overwrite", 40)):
+        write_geoparquet(df, path, mode=mode, srid=32633)
+        assert read_geoparquet(spark, path).count() == n
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert files and not os.path.exists(f"{path}/_attempts")
+    got = footer_crs(spark.createDataFrame([(f"{path}/{f}",) for f in files], "path string"))
+    assert {r["epsg"] for r in got.collect()} == {32633}
+    boxes = [json.loads(pq.ParquetFile(f"{path}/{f}").metadata.metadata[b"geo"])["columns"]["geometry"]["bbox"] for f in files]
+    assert min(b[0] for b in boxes) == 0 and max(b[2] for b in boxes) == 40 and {b[3] for b in boxes} == {5.0}
+    with pytest.raises(FileExistsError):
+        write_geoparquet(df, path, mode="error", srid=32633)
+    write_geoparquet(df.where("id < 0"), path, srid=4326)
+    assert read_geoparquet(spark, path).columns == ["id", "name", "bbox", "geom"] and spark.read.parquet(path).isEmpty()
 
 
 def test_url_parts(spark):
