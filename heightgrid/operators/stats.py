@@ -36,12 +36,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     bracket, takes three of its thousand parts, counts exactly what lies before, at, between and behind their ends, and
     goes on with the piece that holds the rank, whichever it is: a bad sketch costs a round, never a wrong value. The
     piece is written to the shared folder, so each round reads about 3 / 1,000 of the one before. Brackets of one
-    value, or of few, are done; these few are ranked at the end.
+    value, or of few, are done; these few are ranked at the end. The column itself is written first, so that what comes
+    before it runs once.
 
     Null values do not count; groups without values and an empty table give no row.
     """
     keys = keys or []
-    named = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    named = checkpoint(df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v")))
     target = [*keys, "j"]
     place = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ranks = [F.struct(F.lit(2 * i + up).alias("j"), (F.ceil if up else F.floor)(pos).cast("long").alias("r")) for i, pos in enumerate(place) for up in (0, 1)]
@@ -56,10 +57,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         closed = state.where(~wide).select(*target, "n", "r", "lo", "hi")
         ends = closed.where(F.col("lo") < F.col("hi")).select(*target, "lo", "hi")
         done.append(closed)
-        pools.append(_meet(rest, ends, on).where(F.col("_v").between(F.col("lo"), F.col("hi"))).select(*target, "_v"))
-        opened = state.where(wide)
-        if opened.isEmpty():
+        few = ~wide & (F.col("lo") < F.col("hi"))
+        left = state.agg(F.coalesce(F.bool_or(wide), F.lit(False)).alias("wide"), F.coalesce(F.bool_or(few), F.lit(False)).alias("few")).first()
+        if left["few"]:
+            pools.append(_meet(rest, ends, on).where(F.col("_v").between(F.col("lo"), F.col("hi"))).select(*target, "_v"))
+        if not left["wide"]:
             break
+        opened = state.where(wide)
         met = _meet(rest, opened.select(*target, "a", "b"), on)
         v, a, b = F.col("_v"), F.col("a"), F.col("b")
         piece = F.when(v < a, 0).when(v == a, 1).when(v < b, 2).when(v == b, 3).otherwise(4)
@@ -74,7 +78,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         on = target
         state = checkpoint(_with_bracket(chosen.join(rest.groupBy(*target).agg(_marks()), target, "left")))
 
-    closed, pool = (reduce(DataFrame.unionByName, parts) for parts in (done, pools))
+    nothing = _meet(named, state.select(*target), keys).where(F.lit(False)).select(*target, "_v")
+    closed, pool = (reduce(DataFrame.unionByName, parts) for parts in (done, pools or [nothing]))
     order = Window.partitionBy(*target).orderBy("_v")  # at most ``_FEW`` rows
     counted = pool.groupBy(*target, "_v").agg(F.count(F.lit(1)).alias("_c"))
     counted = counted.withColumn("_seen", F.sum("_c").over(order))
