@@ -64,13 +64,13 @@ def write_with_footer(df: DataFrame, path: str, geometry: str, srid: int, mode:
         import pyarrow.parquet as pq
 
         target, inner = locate(staged)
-        name, writer, box, held, n = f"{uuid.uuid4().hex}.parquet", None, None, [], 0
+        name, writer, sink, box, held, n = f"{uuid.uuid4().hex}.parquet", None, None, None, [], 0
         for b in batches:
             if not b.num_rows:
                 continue
             if writer is None:
-                schema = b.schema
-                writer = pq.ParquetWriter(target.open_output_stream(f"{inner}/{name}"), schema, compression="snappy")
+                schema, sink = b.schema, target.open_output_stream(f"{inner}/{name}")
+                writer = pq.ParquetWriter(sink, schema, compression="snappy")
             box = _box([b], box)
             held.append(b)
             n += b.num_rows
@@ -82,7 +82,7 @@ def write_with_footer(df: DataFrame, path: str, geometry: str, srid: int, mode:
                 writer.write_table(pa.Table.from_batches(held, schema))
             writer.add_key_value_metadata({"geo": json.dumps(geo_entry(geometry, srid, box))})
             writer.close()
-            writer.file_handle.close() if writer.file_handle else None
+            sink.close()
             yield pa.RecordBatch.from_pydict({"name": [name]})
 
     names = [r["name"] for r in df.mapInArrow(write, "name string").collect()]
