@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heightgrid.session import worker_partitions
+
+STRIP = 1000  # rows of a tile that one task writes
 PAYLOAD = 100  # cells per side of a dense payload, so that one row holds at most 10,000 values
 
 
@@ -42,8 +45,14 @@ def cells_to_payload(cells: DataFrame, keys: list[str], value: str = "value", si
 
 
 def write_cells(cells: DataFrame, path: str, partition: str = "tile_id", mode: str = "append") -> None:
-    """Cells below one folder per tile, each tile written by one task in row order."""
-    cells.repartition(partition).sortWithinPartitions(partition, "cy", "cx").write.mode(mode).partitionBy(partition).parquet(path)
+    """Cells in files in order of the tile, which row groups can be skipped by.
+
+    The number of files follows the cluster, not the tiles: with a folder for each tile, writing, listing and reading
+    cost some milliseconds a tile. Strips of a tile go to tasks of their own, so a tile may have any extent.
+    """
+    strip = F.floor(F.col("cy") / STRIP)
+    dealt = cells.repartition(worker_partitions(cells.sparkSession), partition, strip)
+    dealt.sortWithinPartitions(partition, "cy", "cx").write.mode(mode).parquet(path)
 
 
 def read_cells(spark, path: str) -> DataFrame:
