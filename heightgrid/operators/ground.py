@@ -146,15 +146,14 @@ def _nearest(block: np.ndarray, x: np.ndarray, y: np.ndarray, z: np.ndarray):
 
 
 def _search_blocks(key: str):
-    """Arrow batches sorted by block in, answers out; only the last block of a batch waits for the next one."""
+    """Arrow batches sorted by block in, answers out (null without ground in the block); only the last block of a batch waits for the next one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def answer(pdf: pd.DataFrame) -> pd.DataFrame:
             block = (pdf[[key, "_bx", "_by"]].diff().ne(0).any(axis=1)).cumsum().to_numpy(dtype=np.float64)
             x, y, z = (pdf[c].to_numpy(dtype=np.float64) for c in ("x", "y", "z"))
             d2, gz = _nearest(block, x, y, z)
-            out = pdf.loc[np.isnan(z), [key, "x", "y"]].assign(d2=d2, gz=gz)
-            return out[np.isfinite(d2)]
+            return pdf.loc[np.isnan(z), [key, "_bx", "_by", "x", "y"]].assign(d2=np.where(np.isfinite(d2), d2, np.nan), gz=gz)
 
         held = None
         for pdf in batches:
@@ -225,30 +224,34 @@ def block_pairs(places: DataFrame, ground: DataFrame, key: str) -> DataFrame:
 def nearest_ground(places: DataFrame, ground: DataFrame, key: str = "tile_id", block: float = 25.0) -> DataFrame:
     """``(key, x, y, d2, gz)``: squared distance and height of the nearest ground point of the same tile.
 
-    ``key`` is numeric. Both sides hold each place once, so a block of ``block`` metres has a bounded number of places
+    ``key`` is numeric; places and ground without key or coordinates have no answer and are none. Both sides hold each place once, so a block of ``block`` metres has a bounded number of places
     (stored coordinates are multiples of a fixed step). First every place looks inside its own block, which bounds its
     distance. Which other blocks may hold something nearer is found block by block; a place is handed over to those
-    of them only that lie within its own bound.
+    of them only that lie within its own bound; blocks beyond what it found at home go before its bound is taken.
     """
     bx, by = F.floor(F.col("x") / block), F.floor(F.col("y") / block)
-    g = checkpoint(ground.select(key, "x", "y", "z").withColumns({"_bx": bx, "_by": by}))
-    schema = f"{key} {dict(places.dtypes)[key]}, x double, y double, d2 double, gz double"
+    whole = lambda df: df.dropna(subset=[key, "x", "y"]).withColumns({"_bx": bx, "_by": by})
+    g = checkpoint(whole(ground.select(key, "x", "y", "z")))
+    schema = f"{key} {dict(places.dtypes)[key]}, _bx long, _by long, x double, y double, d2 double, gz double"
 
     def search(queries: DataFrame) -> DataFrame:
         both = queries.select(key, "_bx", "_by", "x", "y", F.lit(None).cast("double").alias("z")).unionByName(g)
         parts = both.repartition(worker_partitions(places.sparkSession), key, "_bx", "_by").sortWithinPartitions(key, "_bx", "_by")
         return parts.mapInPandas(_search_blocks(key), schema)
 
-    q = checkpoint(places.select(key, "x", "y").withColumns({"_bx": bx, "_by": by}))
+    q = checkpoint(whole(places.select(key, "x", "y")))
     first = checkpoint(search(q))
-    met = q.join(first.select(key, "x", "y", "d2"), [key, "x", "y"], "left").join(block_pairs(q, g, key), [key, "_bx", "_by"])
+    met = first.drop("gz").join(block_pairs(q, g, key), [key, "_bx", "_by"])
     met = met.withColumns({"px1": F.col("x"), "py1": F.col("y"), "px2": F.col("x"), "py2": F.col("y")})
-    sure = F.least(F.col("d2"), F.min(_far2("p", "g")).over(Window.partitionBy(key, "x", "y")))
+    met = met.withColumns({"_gap": _gap2("p", "g"), "_far": _far2("p", "g")})
     other = (F.col("_bx") != F.col("gx")) | (F.col("_by") != F.col("gy"))
-    more = met.withColumn("_sure", sure).where(other & (_gap2("p", "g") <= F.col("_sure")))
+    met = met.where(other & (F.col("d2").isNull() | (F.col("_gap") <= F.col("d2")))).select(key, "x", "y", "gx", "gy", "d2", "_gap", "_far")
+    sure = F.least(F.col("d2"), F.min("_far").over(Window.partitionBy(key, "x", "y")))
+    more = met.withColumn("_sure", sure).where(F.col("_gap") <= F.col("_sure"))
     more = more.select(key, "x", "y", F.col("gx").alias("_bx"), F.col("gy").alias("_by"))
     return (
         first.unionByName(search(more))
+        .where(F.col("d2").isNotNull())
         .groupBy(key, "x", "y")
         .agg(F.min(F.struct("d2", "gz")).alias("_m"))
         .select(key, "x", "y", "_m.d2", "_m.gz")

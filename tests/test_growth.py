@@ -27,3 +27,18 @@ def test_files_do_not_follow_the_tiles(spark, tmp_path):
 def test_written_keys_of_folders(spark, tmp_path):
     spark.range(4).withColumn("k", F.col("id") % 2).write.partitionBy("k").parquet(str(tmp_path / "folders"))
     assert sorted(r["k"] for r in written_keys(spark, str(tmp_path / "folders"), "k").collect()) == [0, 1]
+
+
+def test_far_blocks_go_before_the_bound_is_taken(spark):
+    rng = random.Random(3)
+    places = sorted({(k, float(rng.randrange(100)), float(rng.randrange(100))) for k in (1, 2) for _ in range(300)})
+    grounds = [(k, x, y, float(rng.randrange(9))) for k, x, y in places if rng.random() < (0.3 if k == 1 else 0.02)]
+    p = spark.createDataFrame(places, "tile_id long, x double, y double")
+    g = spark.createDataFrame(grounds, "tile_id long, x double, y double, z double")
+    near = ground.nearest_ground(p, g)
+    got = {(r.tile_id, r.x, r.y): (r.d2, r.gz) for r in near.collect()}
+    assert got == {(k, x, y): min(((x - a) ** 2 + (y - b) ** 2, z) for q, a, b, z in grounds if q == k) for k, x, y in places}
+    odd = p.unionByName(spark.createDataFrame([(1, None, 3.0), (None, 5.0, 5.0), (2, 4.0, None)], p.schema))
+    assert {(r.tile_id, r.x, r.y): (r.d2, r.gz) for r in ground.nearest_ground(odd, g).collect()} == got
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(d2" in plan.partition("Window")[2]
