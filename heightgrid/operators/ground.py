@@ -16,26 +16,40 @@ WINDOW_CELLS = 512  # cells along a side of a window of the ground filter, witho
 LOW_OUTLIER_SLOPE = 5.0  # fixed value of the published method: a lone pit steeper than this is no ground
 
 
-def _sliding(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
-    """Running minimum or maximum over 2r+1 cells by repeated doubling."""
-    pad = np.inf if fn is np.minimum else -np.inf
-    width = [(r, r) if i == axis else (0, 0) for i in range(2)]
-    out = np.pad(a, width, constant_values=pad)
+def _running(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
+    """Running minimum or maximum over 2r+1 cells by repeated doubling, where all of them are in the array: 2r cells fewer."""
     n, need = 1, 2 * r + 1
     cut = lambda b, lo, hi: b[lo:hi, :] if axis == 0 else b[:, lo:hi]
     while n < need:
         step = min(n, need - n)
-        size = out.shape[axis]
-        out = fn(cut(out, 0, size - step), cut(out, step, size))
+        size = a.shape[axis]
+        a = fn(cut(a, 0, size - step), cut(a, step, size))
         n += step
+    return a
+
+
+def _sliding(a: np.ndarray, r: int, axis: int, fn) -> np.ndarray:
+    """The same for every cell of the array; what lies beyond takes no part."""
+    width = [(r, r) if i == axis else (0, 0) for i in range(2)]
+    return _running(np.pad(a, width, constant_values=np.inf if fn is np.minimum else -np.inf), r, axis, fn)
+
+
+def _ring(a: np.ndarray) -> np.ndarray:
+    """Minimum over 3 x 3 cells on an array one cell wider on each side; beyond ``a`` all is absent (inf)."""
+    n, m = a.shape
+    rows = np.full((n + 2, m), np.inf)
+    for i in range(3):
+        np.minimum(rows[i : i + n], a, out=rows[i : i + n])
+    out = np.full((n + 2, m + 2), np.inf)
+    for j in range(3):
+        np.minimum(out[:, j : j + m], rows, out=out[:, j : j + m])
     return out
 
 
-def _opening(a: np.ndarray, r: int, eroded: np.ndarray | None = None) -> np.ndarray:
-    """Opening with a square of 2r+1 cells; absent cells (inf) take no part. ``eroded``: the running minimum, where it is known."""
-    low = _sliding(_sliding(a, r, 0, np.minimum), r, 1, np.minimum) if eroded is None else eroded
-    low = np.where(np.isinf(low), -np.inf, low)
-    return _sliding(_sliding(low, r, 0, np.maximum), r, 1, np.maximum)
+def _opening(eroded: np.ndarray, r: int) -> np.ndarray:
+    """Opening with a square of 2r+1 cells from the running minimum, which is r cells wider on each side; absent cells take no part."""
+    low = np.where(np.isinf(eroded), -np.inf, eroded)
+    return _running(_running(low, r, 0, np.maximum), r, 1, np.maximum)
 
 
 def _ground_surface(lowest: np.ndarray, steps: int, cell: float, slope: float, threshold: float, scalar: float):
@@ -47,14 +61,14 @@ def _ground_surface(lowest: np.ndarray, steps: int, cell: float, slope: float, t
     absent = np.isinf(lowest)
     with np.errstate(invalid="ignore"):
         upside_down = np.where(absent, np.inf, -lowest)
-        outlier = ~absent & (upside_down - _opening(upside_down, 1) > LOW_OUTLIER_SLOPE * cell)
+        outlier = ~absent & (upside_down - _opening(_ring(upside_down), 1) > LOW_OUTLIER_SLOPE * cell)
         base = np.where(outlier, np.inf, lowest)
-        base = np.where(outlier, _opening(base, 1), base)
+        base = np.where(outlier, _opening(_ring(base), 1), base)
         base = np.where(np.isfinite(base), base, lowest)
         last, is_object, eroded = base, np.zeros(base.shape, dtype=bool), base
         for r in range(1, steps + 1):
-            eroded = _sliding(_sliding(eroded, 1, 0, np.minimum), 1, 1, np.minimum)  # one ring of cells more each time
-            opened = np.where(absent, np.inf, _opening(base, r, eroded))
+            eroded = _ring(eroded)  # one ring of cells more each time
+            opened = np.where(absent, np.inf, _opening(eroded, r))
             is_object |= (last - opened) > slope * r * cell
             last = opened
         dem = np.where(is_object, last, base)
@@ -76,34 +90,54 @@ def classify_ground(
 
     Points shrink map-side to one lowest height per cell. The grid is cut into windows of ``span`` x ``span`` cells,
     each with a halo as wide as the filter reaches, so a task's array is bounded whatever the tile's extent and
-    the surface is the same for any ``span``. An array is cut to the box of its cells and as many cells around it as the
-    widest opening looks; what lies beyond is absent either way. Windows without a cell of their own are left out. The
-    points themselves meet the surface in an equi-join.
+    the surface is the same for any ``span``. An array is cut to the box of its cells; what lies beyond is absent either way.
+    Windows without a cell of their own are left out. Many windows come in a batch, sorted. The points themselves meet the
+    surface in an equi-join, which drops points without a key.
     """
     gx, gy = F.floor(F.col("x") / cell).alias("_gx"), F.floor(F.col("y") / cell).alias("_gy")
-    low = points.groupBy(key, gx, gy).agg(F.min("z").alias("low"))
+    low = points.where(F.col(key).isNotNull()).groupBy(key, gx, gy).agg(F.min("z").alias("low"))
     steps = int(np.ceil(window / cell))
     halo = _reach(steps)
-    around = steps + 3
+    by_window = [key, "_wx", "_wy"]
 
-    def surface(pdf: pd.DataFrame) -> pd.DataFrame:
-        i = (pdf["_gx"] - pdf["_wx"] * span).to_numpy()
-        j = (pdf["_gy"] - pdf["_wy"] * span).to_numpy()
+    def surface(pdf: pd.DataFrame, edges: np.ndarray) -> pd.DataFrame:
+        """Surface at the own cells of the windows that begin at ``edges``."""
+        low = pdf["low"].to_numpy(dtype=np.float64)
+        gx, gy, wx, wy = (pdf[c].to_numpy() for c in ("_gx", "_gy", "_wx", "_wy"))
+        i, j = gx - wx * span, gy - wy * span
         inner = (i >= 0) & (i < span) & (j >= 0) & (j < span)
-        if not inner.any():
-            return pdf.loc[inner, [key, "_gx", "_gy"]].assign(_dem=0.0, _limit=0.0)
-        i, j = i - i.min() + around, j - j.min() + around
-        lowest = np.full((i.max() + around + 1, j.max() + around + 1), np.inf)
-        lowest[i, j] = pdf["low"]
-        dem, limit = _ground_surface(lowest, steps, cell, slope, threshold, scalar)
-        i, j = i[inner], j[inner]
-        return pdf.loc[inner, [key, "_gx", "_gy"]].assign(_dem=dem[i, j], _limit=limit[i, j])
+        dem, limit = np.zeros(len(pdf)), np.zeros(len(pdf))
+        for a, b in zip(edges, [*edges[1:], len(pdf)], strict=True):
+            if not inner[a:b].any():
+                continue
+            at = i[a:b] - i[a:b].min(), j[a:b] - j[a:b].min()
+            lowest = np.full((at[0].max() + 1, at[1].max() + 1), np.inf)
+            lowest[at] = low[a:b]
+            of_cell, allowed = _ground_surface(lowest, steps, cell, slope, threshold, scalar)
+            dem[a:b], limit[a:b] = of_cell[at], allowed[at]
+        return pdf[[key, "_gx", "_gy"]].assign(_dem=dem, _limit=limit)[inner]
+
+    def surfaces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sorted batches in; only the last window of a batch waits for the next one."""
+        held = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            new = np.ones(len(pdf), bool)
+            new[1:] = np.any([pdf[c].to_numpy()[1:] != pdf[c].to_numpy()[:-1] for c in by_window], axis=0)
+            edges = np.flatnonzero(new)
+            held = pdf.iloc[edges[-1] :]
+            if len(edges) > 1:
+                yield surface(pdf.iloc[: edges[-1]], edges[:-1])
+        if held is not None:
+            yield surface(held, np.zeros(1, np.int64))
 
     windows = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / span), F.floor((F.col(c) + halo) / span)))
     spread = low.withColumn("_wx", windows("_gx")).withColumn("_wy", windows("_gy"))
     schema = f"{key} {dict(points.dtypes)[key]}, _gx long, _gy long, _dem double, _limit double"
-    by_window = [key, "_wx", "_wy"]
-    dem = spread.repartition(worker_partitions(points.sparkSession), *by_window).groupBy(*by_window).applyInPandas(surface, schema)
+    parts = spread.repartition(worker_partitions(points.sparkSession), *by_window).sortWithinPartitions(*by_window)
+    dem = parts.mapInPandas(surfaces, schema)
     tagged = points.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
     is_ground = F.abs(F.col("z") - F.col("_dem")) <= F.col("_limit")
     return (

@@ -42,3 +42,13 @@ def test_far_blocks_go_before_the_bound_is_taken(spark):
     assert {(r.tile_id, r.x, r.y): (r.d2, r.gz) for r in ground.nearest_ground(odd, g).collect()} == got
     plan = near._jdf.queryExecution().optimizedPlan().toString()
     assert "isnull(d2" in plan.partition("Window")[2]
+
+
+def test_ground_surface_needs_no_margin():
+    rng = np.random.default_rng(4)
+    tight, wide = np.full((31, 12), np.inf), np.full((91, 72), np.inf)
+    i, j = rng.integers(0, 31, 150), rng.integers(0, 12, 150)
+    tight[i, j] = wide[i + 30, j + 30] = 50 + rng.random(150) * 15
+    there = np.isfinite(tight)
+    for a, b in zip(ground._ground_surface(tight, 18, 1.0, 0.15, 0.5, 1.25), ground._ground_surface(wide, 18, 1.0, 0.15, 0.5, 1.25), strict=True):
+        assert np.array_equal(a[there], b[30:-30, 30:-30][there])
