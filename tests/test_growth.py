@@ -52,3 +52,23 @@ def test_ground_surface_needs_no_margin():
     there = np.isfinite(tight)
     for a, b in zip(ground._ground_surface(tight, 18, 1.0, 0.15, 0.5, 1.25), ground._ground_surface(wide, 18, 1.0, 0.15, 0.5, 1.25), strict=True):
         assert np.array_equal(a[there], b[30:-30, 30:-30][there])
+
+
+def test_elastic_net_reads_the_rows_a_few_times(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 6)) + 0.5 * rng.normal(size=(200, 1))
+    y = x @ rng.normal(size=6) + rng.normal(size=200)
+    table = spark.createDataFrame([(v.tolist(), float(t), 1) for v, t in zip(x, y)], "embedding array<double>, height double, folds int")
+    data = est.feature_table(table).select("features", "height").cache()
+    data.count()
+    spark.sparkContext.setJobGroup("elastic-net", "fit")
+    model = est.ElasticNet(alpha=0.01, l1_ratio=0.5).fit(data)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("elastic-net"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8
+    b, xc, yc = np.zeros(6), x - x.mean(0), y - y.mean()
+    for _ in range(500):
+        for k in range(6):
+            rho = xc[:, k] @ (yc - xc @ b + xc[:, k] * b[k]) / 200
+            b[k] = np.sign(rho) * max(abs(rho) - 0.005, 0) / (xc[:, k] @ xc[:, k] / 200 + 0.005)
+    assert model.coefficients.toArray() == pytest.approx(b, abs=1e-6)
