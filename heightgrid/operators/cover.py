@@ -17,8 +17,10 @@ The cells are cut in numpy, all cells of many polygons at once; the tests at a p
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from heightgrid.functions.geometry import flat_edges
 from heightgrid.session import worker_partitions
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
-DEPTH, MOST = 3, 2
+DEPTH, MOST, FEW = 3, 2, 4
 #: Cells of about a millimetre are not cut further.
 LEAST_LEVEL = -10
 #: A cell counts as met by edges that pass it within this share of its size, and of a coordinate's last digits.
@@ -70,7 +72,9 @@ def in_cell(x, y) -> Column:
     """Whether a place within a cell (columns ``lvl, ix, full, ref, edges``) lies in the polygon."""
     px, py = (F.col(c) if isinstance(c, str) else c for c in (x, y))
     x0 = F.col("ix") * size_of()
-    odd = F.size(F.filter("edges", lambda e: _term(e, x0, px, py))) % 2 == 1
+    few = reduce(operator.ne, [F.coalesce(_term(F.get("edges", F.lit(i)), x0, px, py), F.lit(False)) for i in range(FEW)])
+    many = F.size(F.filter("edges", lambda e: _term(e, x0, px, py))) % 2 == 1
+    odd = F.when(F.size("edges") <= FEW, few).otherwise(many)  # few edges need no lambda, so Spark compiles the test
     return F.col("full") | (odd != F.col("ref"))
 
 
@@ -171,14 +175,14 @@ def _first_cells(box: np.ndarray, lvl: np.ndarray, offsets: np.ndarray) -> _Cell
     return _Cells(row, lvl[row], x1[row] + at % nx[row], y1[row] + at // nx[row], np.zeros(len(row), bool), np.repeat(np.arange(len(row)), many), edge)
 
 
-def cut_cells(edges: np.ndarray, offsets: np.ndarray, box: np.ndarray, lvl: np.ndarray, depth: int, most: int) -> Iterator[tuple[_Cells, bool]]:
+def cut_cells(edges: np.ndarray, offsets: np.ndarray, box: np.ndarray, lvl: np.ndarray, depth: int, most: int, least: float = 0.0) -> Iterator[tuple[_Cells, bool]]:
     """Cells of polygons, and whether they are full. ``edges``: five rows, those of polygon ``i`` from ``offsets[i]`` on."""
     cells = _first_cells(box, lvl, offsets)
     full, border = cells.settled(edges, cells.odd(edges, *cells.centre(), ends=False))
     yield full, True
     level = 0
     while len(border.row):
-        again = ((level < depth) | (border.held() > most)) & (border.lvl > LEAST_LEVEL)
+        again = (((level < depth) & (np.ldexp(1.0, border.lvl) > least)) | (border.held() > most)) & (border.lvl > LEAST_LEVEL)
         yield border.only(~again), False
         full, border = border.only(again).quarters(edges)
         yield full, True
@@ -193,11 +197,12 @@ def _slices(counts: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def polygon_cells(polygons: DataFrame, geom: str, keep: list[str], depth: int = DEPTH, most: int = MOST) -> DataFrame:
+def polygon_cells(polygons: DataFrame, geom: str, keep: list[str], depth: int = DEPTH, most: int = MOST, least: float = 0.0) -> DataFrame:
     """``keep`` columns and ``lvl, ix, iy, full, ref, edges``: the cells of each polygon, which do not overlap.
 
     A cell of level ``lvl`` has sides of ``2 ** lvl`` and spans ``ix`` to ``ix + 1`` of them. ``polygons`` have the
-    columns of ``BOX``. Polygons without edges, or null ones, have no cells.
+    columns of ``BOX``. Polygons without edges, or null ones, have no cells. Border cells of sides up to ``least`` are cut
+    only where they hold more than ``most`` edges.
     """
     flat = polygons.where(F.col(geom).isNotNull()).select(*keep, *[F.col(c).cast("double").alias(f"_{c}") for c in BOX], flat_edges(geom).alias("_all"))
     flat = flat.where(F.size("_all") > 0).withColumn("_lvl", extent_level(*(f"_{c}" for c in BOX)))
@@ -214,7 +219,7 @@ def polygon_cells(polygons: DataFrame, geom: str, keep: list[str], depth: int =
                 edges = np.stack([np.asarray(structs.field(c)) for c in range(5)])
                 offsets = np.concatenate([[0], np.cumsum(counts[a:b])])
                 box = np.stack([np.asarray(some.column(f"_{c}")) for c in BOX])
-                for cells, full in cut_cells(edges, offsets, box, np.asarray(some.column("_lvl")).astype(np.int64), depth, most):
+                for cells, full in cut_cells(edges, offsets, box, np.asarray(some.column("_lvl")).astype(np.int64), depth, most, least):
                     if not len(cells.row):
                         continue
                     own = some.select(keep).take(pa.array(cells.row)) if keep else None

@@ -13,21 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heightgrid.functions.geometry import edges_intersect, first_vertices, flat_edges
-from heightgrid.operators.cover import BOX, cell_box, extent_level, in_cell, in_laid_out, laid_out, polygon_cells, size_of
+from heightgrid.operators.cover import BOX, FEW, cell_box, extent_level, in_cell, in_laid_out, laid_out, polygon_cells, size_of
 from heightgrid.session import checkpoint, with_row, worker_partitions
 
+#: Sides of a cell of polygons, in cells of the raster it meets, below which it is not cut.
+WET_CELLS = 8
 
-def _keyed(df: DataFrame, box, own: Column, other_levels: DataFrame, tag: str) -> DataFrame:
-    """One row per (level, bucket) the feature has to be looked up in."""
+
+def _keyed(df: DataFrame, box, own: Column, other_levels: DataFrame, tag: str, open_edges: bool) -> DataFrame:
+    """One row per (level, bucket) the feature has to be looked up in: its own level only where the other side has one no larger,
+    and not the bucket that an open box ends at."""
     xmin, ymin, xmax, ymax = (F.col(c) for c in box)
-    levels = F.array_distinct(
-        F.concat(F.array(F.col(f"_{tag}lvl")), F.filter("_levels", lambda v: v > F.col(f"_{tag}lvl")))
-    )
+    level = F.col(f"_{tag}lvl")
+    levels = F.array_distinct(F.transform("_levels", lambda v: F.greatest(v, level)))
+    first = lambda low: F.floor(low / F.col("_size"))
+    last = lambda low, high: F.greatest(F.ceil(high / F.col("_size")) - 1, first(low)) if open_edges else first(high)
     df = with_row(df.withColumn(f"_{tag}lvl", own), other_levels)
     df = df.withColumn("_lvl", F.explode(levels)).drop("_levels").withColumn("_size", F.pow(F.lit(2.0), F.col("_lvl")))
-    df = df.withColumn("_bx", F.explode(F.sequence(F.floor(xmin / F.col("_size")), F.floor(xmax / F.col("_size")))))
+    df = df.withColumn("_bx", F.explode(F.sequence(first(xmin), last(xmin, xmax))))
     return df.withColumn(
-        "_by", F.explode(F.sequence(F.floor(ymin / F.col("_size")), F.floor(ymax / F.col("_size"))))
+        "_by", F.explode(F.sequence(first(ymin), last(ymin, ymax)))
     )
 
 
@@ -45,8 +50,8 @@ def bucket_pairs(left: DataFrame, right: DataFrame, left_box=BOX, right_box=BOX,
     l_lvl, r_lvl = extent_level(*lb), extent_level(*rb)
     l_levels = lefts.agg(F.collect_set(l_lvl).alias("_levels"))
     r_levels = rights.agg(F.collect_set(r_lvl).alias("_levels"))
-    a = _keyed(lefts, lb, l_lvl, r_levels, "l")
-    b = _keyed(rights, rb, r_lvl, l_levels, "r").withColumnRenamed("_size", "_size_r")
+    a = _keyed(lefts, lb, l_lvl, r_levels, "l", open_edges)
+    b = _keyed(rights, rb, r_lvl, l_levels, "r", open_edges).withColumnRenamed("_size", "_size_r")
     pairs = a.join(b, ["_lvl", "_bx", "_by"])
     c = F.col
     meet = (
@@ -208,9 +213,10 @@ def cells_minus_boxes(tiles: DataFrame, water: DataFrame, key: str, res: float =
 def cells_minus_polygons(tiles: DataFrame, water: DataFrame, key: str, geom: str, res: float = 10.0) -> DataFrame:
     """As ``cells_minus_boxes`` for any polygons: a cell is wet when its centre lies in a polygon.
 
-    A polygon meets the tiles as cells of a cover, each with its own few edges.
+    A polygon meets the tiles as cells of a cover, each with its own few edges, and no smaller than some cells of the raster,
+    so that their number follows the raster and not the cover.
     """
-    shapes = polygon_cells(water, geom, []).withColumns(cell_box())
+    shapes = polygon_cells(water, geom, [], most=FEW, least=WET_CELLS * res).withColumns(cell_box())
     common = bucket_pairs(tiles.select(key, *BOX), shapes, open_edges=True).select(
         key, "lvl", "ix", "full", "ref", "edges",
         F.greatest("xmin_l", "xmin_r").alias("xmin"), F.greatest("ymin_l", "ymin_r").alias("ymin"),

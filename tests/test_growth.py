@@ -72,3 +72,25 @@ def test_elastic_net_reads_the_rows_a_few_times(spark):
             rho = xc[:, k] @ (yc - xc @ b + xc[:, k] * b[k]) / 200
             b[k] = np.sign(rho) * max(abs(rho) - 0.005, 0) / (xc[:, k] @ xc[:, k] / 200 + 0.005)
     assert model.coefficients.toArray() == pytest.approx(b, abs=1e-6)
+
+
+def test_cells_of_polygons_follow_the_raster_and_meet_tiles_once(spark):
+    rows = []
+    rng = random.Random(5)
+    for i in range(40):
+        px, py, half = rng.randrange(600) + 0.3, float(rng.randrange(600)), rng.choice([20.0, 35.0, 80.0])
+        ring = [(px - half, py), (px, py - half), (px + half, py), (px, py + half), (px - half, py)]
+        rows.append((i, px, py, half, *(min(v[a] for v in ring) for a in (0, 1)), *(max(v[a] for v in ring) for a in (0, 1))))
+    from heightgrid.functions.geometry import polygon_from_xy
+
+    df = spark.createDataFrame(rows, "id long, px double, py double, half double, xmin double, ymin double, xmax double, ymax double")
+    x, y, h = F.col("px"), F.col("py"), F.col("half")
+    water = df.withColumn("geom", polygon_from_xy([(x - h, y), (x, y - h), (x + h, y), (x, y + h)]))
+    coarse = cover.polygon_cells(water, "geom", [], most=cover.FEW, least=80.0)
+    assert 2 * coarse.count() < cover.polygon_cells(water, "geom", []).count()
+    tiles = spark.createDataFrame([(10 * i + j, 100.0 * i, 100.0 * j, 100.0 * i + 100, 100.0 * j + 100) for i in range(6) for j in range(6)], "tile_id long, xmin double, ymin double, xmax double, ymax double")
+    keyed = spatial_join._keyed(coarse.withColumns(cover.cell_box()), cover.BOX, cover.extent_level(*cover.BOX), tiles.agg(F.collect_set(cover.extent_level(*cover.BOX)).alias("_levels")), "l", True)
+    assert keyed.where("_llvl <= 7").count() == coarse.where("lvl <= 7").count()
+    dry = {tuple(r) for r in spatial_join.cells_minus_polygons(tiles, water, "tile_id", "geom", 10.0).collect()}
+    wet = lambda cx, cy: any(abs(cx * 10 + 5 - r[1]) + abs(cy * 10 + 5 - r[2]) <= r[3] for r in rows)
+    assert dry == {(10 * (cx // 10) + cy // 10, cx, cy) for cx in range(60) for cy in range(60) if not wet(cx, cy)}
