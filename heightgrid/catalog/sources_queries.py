@@ -82,7 +82,7 @@ def a8(t):
               count(*) AS n_cells, round(sum(height), 4) AS total FROM chm GROUP BY ALL""",
 )
 def a9(t):
-    """Cells written in folders by tile, read back, and packed to dense payloads."""
+    """Cells written in order of the tile, read back, and packed to dense payloads."""
     path = scratch_path(t.spark, "raster")
     rasters.write_cells(t.chm.select("tile_id", "cx", "cy", "height"), path)
     back = rasters.read_cells(t.spark, path).select(F.col("tile_id").cast("long").alias("tile_id"), "cx", "cy", "height")
@@ -157,7 +157,7 @@ def a13(t):
     "SELECT tile_id, tile_name FROM tiles WHERE tile_id NOT IN (SELECT tile_id FROM points WHERE hag > 58.4)",
 )
 def a15(t):
-    """Tiles whose folder is not there yet."""
+    """Tiles that are not written yet."""
     path = scratch_path(t.spark, "done")
     rasters.write_cells(t.points.where("hag > 58.4").select("tile_id", "cx", "cy", "hag"), path)
     done = outputs.written_keys(t.spark, path, "tile_id")
