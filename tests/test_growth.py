@@ -1,6 +1,7 @@
 """What grows with the tables and what must not: files, passes, copies."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from heightgrid.modeling import estimators as est
 from heightgrid.operators import cover, ground, spatial_join
+from heightgrid.session import checkpoint
 from heightgrid.sources.outputs import written_keys
 from heightgrid.sources.rasters import read_cells, write_cells
 
@@ -94,3 +96,31 @@ def test_cells_of_polygons_follow_the_raster_and_meet_tiles_once(spark):
     dry = {tuple(r) for r in spatial_join.cells_minus_polygons(tiles, water, "tile_id", "geom", 10.0).collect()}
     wet = lambda cx, cy: any(abs(cx * 10 + 5 - r[1]) + abs(cy * 10 + 5 - r[2]) <= r[3] for r in rows)
     assert dry == {(10 * (cx // 10) + cy // 10, cx, cy) for cx in range(60) for cy in range(60) if not wet(cx, cy)}
+
+
+def _written(spark):
+    from heightgrid.session import shared_dir
+
+    return len(list(Path(shared_dir(spark)).glob("heightgrid-*/step-*")))
+
+
+def test_predictions_out_of_fold_write_no_second_copy(spark):
+    from heightgrid.modeling.search import cv_predictions, fits_at_once
+
+    rows = [(i, [float(i % 7), float(i % 3)], float(i % 7) + 1, i % 3 + 1) for i in range(60)]
+    table = spark.createDataFrame(rows, "id int, embedding array<float>, height double, folds int")
+    before = _written(spark)
+    assert cv_predictions(table, {"ElasticNet": {"alpha": 0.001, "l1_ratio": 0.5}}).count() == 60
+    assert _written(spark) == before
+    assert [fits_at_once(n, 4) for n in (0, 1_000, 1_500_000, 10**9)] == [4, 4, 2, 1]
+
+
+def test_shuffles_behind_a_written_table_go(spark):
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {b for b in blocks.getAllBlocks().mkString(",").split(",") if "shuffle" in b}
+    before = shuffles()
+    many = spark.range(20_000, numPartitions=4).groupBy((F.col("id") % 5_000).alias("k")).agg(F.sum("id").alias("s"))
+    kept = checkpoint(many, drop_shuffles=True)
+    assert shuffles() <= before
+    assert kept.count() == 5_000 and kept.agg(F.sum("s")).first()[0] == 199_990_000
+    assert checkpoint(many).count() == 5_000 and not shuffles() <= before
